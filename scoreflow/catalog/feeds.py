@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from scoreflow.layouts import MRI11
 from scoreflow.models import TreeEnsemble
@@ -22,72 +22,59 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def features(orders: DataFrame) -> DataFrame:
     """`k`, `PNO` and the eleven features, as numbers."""
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    return orders.select(
-        k.alias("k"),
-        F.concat(F.lit("P"), k.cast("string")).alias("PNO"),
-        (k % 100).alias("AGE"),
-        (c % 4).alias("TURN"),
-        (k % 24).alias("bhour"),
-        (k * 7 % 50).alias("ITEM_n"),
-        (c % 60).alias("ORDERDR_n"),
-        (c % 5).alias("MODEL_NAME_n"),
-        (1 + k % 3).alias("IO_n"),
-        (c % 30).alias("DEPT_n"),
-        (k % 2).alias("SEX_n"),
-        (k * 3 % 11).alias("POS_n"),
-        (c % 40).alias("MD_NO_n"),
+    return orders.selectExpr(
+        "o_orderkey AS k",
+        "concat('P', o_orderkey) AS PNO",
+        "o_orderkey % 100 AS AGE",
+        "o_custkey % 4 AS TURN",
+        "o_orderkey % 24 AS bhour",
+        "o_orderkey * 7 % 50 AS ITEM_n",
+        "o_custkey % 60 AS ORDERDR_n",
+        "o_custkey % 5 AS MODEL_NAME_n",
+        "1 + o_orderkey % 3 AS IO_n",
+        "o_custkey % 30 AS DEPT_n",
+        "o_orderkey % 2 AS SEX_n",
+        "o_orderkey * 3 % 11 AS POS_n",
+        "o_custkey % 40 AS MD_NO_n",
         "o_totalprice",
         "o_orderdate",
     )
 
 
-def _joined(columns: list[str]) -> Column:
-    return F.concat_ws(",", *[F.col(c).cast("string") for c in columns])
+def _joined(columns: Sequence[str], *more: str) -> str:
+    return f"concat_ws(',', {', '.join([f'string({c})' for c in columns] + list(more))})"
 
 
 def mri11_lines(orders: DataFrame) -> DataFrame:
     """(`k`, `PNO`, `value`), damaged records included."""
     names = MRI11.columns
-    line = (
-        F.when(F.col("k") % 101 == 0, _joined(names[:5]))
-        .when(F.col("k") % 97 == 0, F.concat(_joined(names[:10]), F.lit(",N/A")))
-        .otherwise(_joined(names))
-    )
-    return features(orders).select("k", "PNO", line.alias("value"))
+    line = f"""CASE WHEN k % 101 = 0 THEN {_joined(names[:5])}
+        WHEN k % 97 = 0 THEN {_joined(names[:10], "'N/A'")}
+        ELSE {_joined(names)} END AS value"""
+    return features(orders).selectExpr("k", "PNO", line)
 
 
 def kafka8_records(orders: DataFrame) -> DataFrame:
     """(`key`, `value`) with the first eight features."""
-    return features(orders).select(F.col("PNO").alias("key"), _joined(MRI11.columns[:8]).alias("value"))
+    return features(orders).selectExpr("PNO AS key", f"{_joined(MRI11.columns[:8])} AS value")
 
 
 def keyed7_records(orders: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """(`key`, `value`) with seven decimals; the first has a real fraction."""
-    first = (F.col("o_totalprice") / 100).cast("string")
-    rest = _joined(["ORDERDR_n", "DEPT_n", "SEX_n", "AGE", "POS_n", "IO_n"])
-    value = F.concat_ws(",", first, rest)
-    return features(orders).select(F.col("PNO").alias("key"), value.alias("value"), *keep)
+    fields = ["o_totalprice / 100", "ORDERDR_n", "DEPT_n", "SEX_n", "AGE", "POS_n", "IO_n"]
+    return features(orders).selectExpr("PNO AS key", f"{_joined(fields)} AS value", *keep)
 
 
 def people_table(orders: DataFrame) -> DataFrame:
-    rows = features(orders)
-    return rows.select(
-        "PNO",
-        F.col("ITEM_n").alias("Item"),
-        F.col("ORDERDR_n").alias("ORDERDR"),
-        F.col("DEPT_n").alias("DEPT"),
-        F.col("SEX_n").alias("SEX"),
-        "AGE",
-        F.col("POS_n").alias("POS"),
-        F.col("IO_n").alias("IO"),
-        (60 + F.col("k") % 3600).alias("SECOND"),
+    return features(orders).selectExpr(
+        "PNO", "ITEM_n AS Item", "ORDERDR_n AS ORDERDR", "DEPT_n AS DEPT", "SEX_n AS SEX",
+        "AGE", "POS_n AS POS", "IO_n AS IO", "60 + k % 3600 AS SECOND",
     )
 
 
 def people_lines(orders: DataFrame) -> DataFrame:
     people = people_table(orders)
-    return people.select(_joined(people.columns).alias("value"))
+    return people.selectExpr(f"{_joined(people.columns)} AS value")
 
 
 def write_lines(lines: DataFrame, label: str) -> str:

@@ -190,7 +190,7 @@ def people_sql_parquet(spark, sf_dir):
 @query
 def dense_index(spark, sf_dir):
     orders = _orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_totalprice")
-    return with_dense_index(distribute(orders), order_by="o_orderkey")
+    return with_dense_index(distribute(orders), order_by="o_orderkey", spread_ties=False)
 
 
 @query

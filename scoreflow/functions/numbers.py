@@ -1,9 +1,14 @@
-"""Text-to-number rules and unit conversion, as Columns."""
+"""Text-to-number rules and unit conversion.
+
+The `_sql` forms take and give SQL text, for use in wide projections.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from scoreflow.functions.sqltext import name
+
 # Spellings accepted besides what a plain cast takes, and the ones it takes too much.
 _GROUPED_INT = r"^\s*[+-]?\d+(?:_\d+)+\s*$"
 _FLOAT = (
@@ -12,22 +17,29 @@ _FLOAT = (
 )
 
 
-def int_text(text: Column) -> Column:
+def int_text_sql(text: str) -> str:
     """Whole number in `text` as bigint, or NULL.
 
     Surrounding space, a sign and `_` between digits are allowed; fractions and
     exponents are not. The second cast runs only where the first gives NULL.
     """
-    plain = text.try_cast("bigint")
-    grouped = F.when(
-        text.rlike(_GROUPED_INT), F.replace(text, F.lit("_"), F.lit("")).try_cast("bigint")
+    return (
+        f"coalesce(try_cast({text} AS bigint), "
+        f"if({text} RLIKE r'{_GROUPED_INT}', try_cast(replace({text}, '_', '') AS bigint), NULL))"
     )
-    return F.coalesce(plain, grouped)
 
 
-def float_text(text: Column) -> Column:
+def float_text_sql(text: str) -> str:
     """Decimal number in `text` as double, or NULL; rejects `5d`, `5f` and hexadecimal."""
-    return F.when(text.rlike(_FLOAT), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
+    return f"if({text} RLIKE r'{_FLOAT}', try_cast(replace({text}, '_', '') AS double), NULL)"
+
+
+def int_text(column: str) -> Column:
+    return F.expr(int_text_sql(name(column)))
+
+
+def float_text(column: str) -> Column:
+    return F.expr(float_text_sql(name(column)))
 
 
 def truncate(number: Column) -> Column:

@@ -6,11 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
+from scoreflow.functions.sqltext import name
 
-def int_vector(columns: Sequence[str | Column]) -> Column:
+
+def int_vector(columns: Sequence[str]) -> Column:
     """One array<bigint> per row; fractions are truncated toward zero."""
-    cols = [F.col(c) if isinstance(c, str) else c for c in columns]
-    return F.array(*[c.try_cast("bigint") for c in cols])
+    return F.expr("array(" + ", ".join(f"try_cast({name(c)} AS bigint)" for c in columns) + ")")
 
 
 def truncate_vector(vector: Column) -> Column:
@@ -20,7 +21,5 @@ def truncate_vector(vector: Column) -> Column:
 def zip_rows(left: Column, right: Column, left_name: str, right_name: str) -> Column:
     """Generator: one row per pair of elements, as long as the shorter array."""
     n = F.least(F.size(left), F.size(right))
-    pairs = F.arrays_zip(
-        F.slice(left, F.lit(1), n).alias(left_name), F.slice(right, F.lit(1), n).alias(right_name)
-    )
-    return F.inline(pairs.cast(f"array<struct<{left_name}:bigint,{right_name}:double>>"))
+    pairs = F.arrays_zip(F.slice(left, F.lit(1), n), F.slice(right, F.lit(1), n))
+    return F.inline(pairs.cast(f"array<struct<{name(left_name)}:bigint,{name(right_name)}:double>>"))

@@ -18,6 +18,8 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.sql import Column, SparkSession, functions as F
 
+from scoreflow.functions.sqltext import name
+
 
 class TreeEnsemble:
     def __init__(self, spec: dict):
@@ -53,24 +55,20 @@ class TreeEnsemble:
         names = list(columns or self.features)
         if len(names) != len(self.features):
             raise ValueError(f"the model takes {len(self.features)} features, got {len(names)}")
-        inputs = {f: F.col(c) for f, c in zip(self.features, names)}
+        inputs = {f: name(c) for f, c in zip(self.features, names)}
 
-        def grow(node: dict) -> Column:
+        def grow(node: dict) -> str:
             if "value" in node:
-                return F.lit(float(node["value"]))
-            x, t = inputs[node["feature"]], F.lit(float(node["threshold"]))
-            test = x <= t if self.split == "le" else x < t
-            return F.when(test, grow(node["yes"])).otherwise(grow(node["no"]))
-
-        total = grow(self.trees[0])
-        for tree in self.trees[1:]:
-            total = total + grow(tree)
+                return f"{float(node['value'])!r}D"
+            test = f"{inputs[node['feature']]} {operator} {float(node['threshold'])!r}D"
+            return f"CASE WHEN {test} THEN {grow(node['yes'])} ELSE {grow(node['no'])} END"
+
+        operator = "<=" if self.split == "le" else "<"
+        total = "(" + " + ".join(grow(tree) for tree in self.trees) + ")"
         if self.combine == "mean":
-            total = total / F.lit(float(len(self.trees)))
-        known = F.lit(True)
-        for column in inputs.values():
-            known = known & column.isNotNull()
-        return F.when(known, total + F.lit(self.base))
+            total = f"{total} / {len(self.trees)}D"
+        known = " AND ".join(f"{column} IS NOT NULL" for column in inputs.values())
+        return F.expr(f"CASE WHEN {known} THEN {total} + {self.base!r}D END")
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         """Predictions for the rows of a 2-D array, one tree level at a time."""

@@ -4,23 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from scoreflow.fixed_values import CHECKED_FIELD
-from scoreflow.functions.numbers import float_text, int_text
+from scoreflow.functions.numbers import float_text_sql, int_text_sql
+from scoreflow.functions.sqltext import literal, name
 from scoreflow.layouts import FieldLayout
 
 POLICIES = ("strict", "drop", "null")
 SHORT_ROWS = ("drop", "fail")
 
+_READERS = {"bigint": int_text_sql, "double": float_text_sql, "string": lambda text: text}
+
 
 def drop_blank(df: DataFrame, value: str = "value") -> DataFrame:
     return df.filter(F.col(value) != "")
 
 
-def split_fields(df: DataFrame, value: str = "value", separator: str = ",", name: str = "fields") -> DataFrame:
+def split_fields(df: DataFrame, value: str = "value", separator: str = ",", into: str = "fields") -> DataFrame:
     """Add the array of the line's fields; empty fields are kept."""
-    return df.withColumn(name, _split(F.col(value), separator))
+    return df.withColumn(into, F.expr(_split(value, separator)))
 
 
 def keep_int_field(
@@ -36,13 +39,14 @@ def keep_int_field(
     ("drop") or fail the job ("fail").
     """
     _one_of("short_rows", short_rows, SHORT_ROWS)
-    fields = _split(F.col(value), separator)
-    keep = int_text(F.get(fields, F.lit(position))).isNotNull()
+    kept = f"CASE WHEN {_is_int(position)} THEN array(true) END"
     if short_rows == "fail":
-        keep = F.when(F.size(fields) > position, keep).otherwise(
-            F.raise_error(_short_row_text(F.col(value), position)).cast("boolean")
-        )
-    return df.filter(keep)
+        fail = _fail(f"line has no field {position}: ", "array<boolean>")
+        kept = f"CASE WHEN size(_parts) <= {position} THEN {fail} ELSE {kept} END"
+    parts = df.selectExpr("*", f"{name(value)} AS _line", f"{_split(value, separator)} AS _parts")
+    # One element or none per row; see parse_delimited on why this is no filter.
+    kept_rows = parts.selectExpr(*map(name, df.columns), f"explode({kept}) AS _kept")
+    return kept_rows.drop("_kept")
 
 
 def parse_delimited(
@@ -67,38 +71,36 @@ def parse_delimited(
     """
     _one_of("policy", policy, POLICIES)
     _one_of("short_rows", short_rows, SHORT_ROWS)
-    line = F.col(value)
-    parts = df.select(
-        *keep, line.alias("_line"), _split(line, layout.separator).alias("_parts")
-    )
-    typed = [_read(F.get(F.col("_parts"), F.lit(i)), t).alias(c) for i, (c, t) in enumerate(layout.fields)]
+    kept = [name(c) for c in keep]
+    parts = df.selectExpr(*kept, f"{name(value)} AS _line", f"{_split(value, layout.separator)} AS _parts")
+    fields = [
+        f"{_READERS[type_](f'get(_parts, {i})')} AS {name(column)}"
+        for i, (column, type_) in enumerate(layout.fields)
+    ]
     if policy == "null" and checked is None:
-        return parts.select(*keep, *typed)
-
-    checks = [] if checked is None else [_check_column(layout, checked)]
-    records = parts.select(
-        *keep, "_line", F.size("_parts").alias("_size"), F.struct(*typed).alias("_record"),
-        *[c.alias("_checked") for c in checks],
-    )
-    record = F.col("_record")
-    whole = F.lit(True)
-    for column in layout.columns:
-        whole = whole & record[column].isNotNull()
-
-    rows = F.array(record)
-    if policy == "drop":
-        rows = F.when(whole, rows)
-    elif policy == "strict":
-        rows = F.when(whole, rows).otherwise(_fail(_bad_row_text(layout), rows_of=layout))
+        return parts.selectExpr(*kept, *fields)
+
+    record_type = "struct<" + ",".join(f"{name(c)}:{t}" for c, t in layout.fields) + ">"
+    rows = "array(_record)"
+    if policy != "null":
+        whole = " AND ".join(f"_record.{name(c)} IS NOT NULL" for c in layout.columns)
+        rows = f"CASE WHEN {whole} THEN {rows}"
+        if policy == "strict":
+            rows += f" ELSE {_fail(f'line does not fit layout {layout.name}: ', f'array<{record_type}>')}"
+        rows += " END"
     if checked is not None:
-        kept = F.when(F.col("_checked"), rows)
+        rows = f"CASE WHEN _checked THEN {rows} END"
         if short_rows == "fail":
-            kept = F.when(
-                F.col("_size") <= checked,
-                _fail(_short_row_text(F.col("_line"), checked), rows_of=layout),
-            ).otherwise(kept)
-        rows = kept
-    return records.select(*keep, F.inline(rows))
+            fail = _fail(f"line has no field {checked}: ", f"array<{record_type}>")
+            rows = f"CASE WHEN _size <= {checked} THEN {fail} ELSE {rows} END"
+    records = parts.selectExpr(
+        *kept,
+        "_line",
+        "size(_parts) AS _size",
+        f"{'true' if checked is None else _is_int(checked)} AS _checked",
+        f"struct({', '.join(fields)}) AS _record",
+    )
+    return records.selectExpr(*kept, f"inline({rows})")
 
 
 def project_pair(df: DataFrame, layout: FieldLayout, value: str = "value") -> DataFrame:
@@ -107,39 +109,26 @@ def project_pair(df: DataFrame, layout: FieldLayout, value: str = "value") -> Da
 
 
 def cast_columns(df: DataFrame, columns: Sequence[str], to: str = "bigint") -> DataFrame:
-    """Cast the named columns; fractions are truncated toward zero."""
-    return df.withColumns({c: F.col(c).try_cast(to) for c in columns})
+    """Cast the named columns; what does not fit becomes NULL."""
+    return df.selectExpr(*[
+        f"try_cast({name(c)} AS {to}) AS {name(c)}" if c in columns else name(c) for c in df.columns
+    ])
 
 
-def _split(line: Column, separator: str) -> Column:
+def _split(value: str, separator: str) -> str:
     # split() takes a pattern; \Q..\E keeps separators such as | literal.
-    return F.split(line, separator if separator == "," else rf"\Q{separator}\E", -1)
-
-
-def _read(text: Column, type_: str) -> Column:
-    readers = {"bigint": int_text, "double": float_text, "string": lambda t: t}
-    return readers[type_](text)
-
-
-def _check_column(layout: FieldLayout, checked: int) -> Column:
-    if checked < len(layout.fields) and layout.fields[checked][1] == "bigint":
-        return _read(F.get(F.col("_parts"), F.lit(checked)), "bigint").isNotNull()
-    return int_text(F.get(F.col("_parts"), F.lit(checked))).isNotNull()
-
-
-def _fail(message: Column, rows_of: FieldLayout) -> Column:
-    record = ",".join(f"`{c}`:{t}" for c, t in rows_of.fields)
-    return F.raise_error(message).cast(f"array<struct<{record}>>")
+    pattern = literal(separator if separator == "," else rf"\Q{separator}\E")
+    return f"split({name(value)}, {pattern}, -1)"
 
 
-def _bad_row_text(layout: FieldLayout) -> Column:
-    return F.concat(F.lit(f"line does not fit layout {layout.name}: "), F.col("_line"))
+def _is_int(position: int) -> str:
+    return f"{int_text_sql(f'get(_parts, {position})')} IS NOT NULL"
 
 
-def _short_row_text(line: Column, position: int) -> Column:
-    return F.concat(F.lit(f"line has no field {position}: "), line)
+def _fail(message: str, as_type: str) -> str:
+    return f"CAST(raise_error(concat({literal(message)}, _line)) AS {as_type})"
 
 
-def _one_of(name: str, given: str, allowed: Sequence[str]) -> None:
+def _one_of(what: str, given: str, allowed: Sequence[str]) -> None:
     if given not in allowed:
-        raise ValueError(f"{name} must be one of {allowed}, got {given!r}")
+        raise ValueError(f"{what} must be one of {allowed}, got {given!r}")

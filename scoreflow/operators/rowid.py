@@ -23,7 +23,10 @@ def distribute(df: DataFrame, partitions: int | None = None) -> DataFrame:
 
 
 def with_dense_index(
-    df: DataFrame, order_by: str | Sequence[str] | None = None, name: str = "row_id"
+    df: DataFrame,
+    order_by: str | Sequence[str] | None = None,
+    name: str = "row_id",
+    spread_ties: bool = True,
 ) -> DataFrame:
     """Add 0..n-1 as `name`: in partition order, or in the order of `order_by`.
 
@@ -34,16 +37,22 @@ def with_dense_index(
     rows per partition and turns the counts into offsets.
 
     With `order_by`, rows are range-partitioned by those columns and, among
-    equal ones, by place. No two rows share that key, so a value that a third
-    of all rows hold is still split over many tasks.
+    equal ones, by their place in the input. No two rows share that key, so a
+    value that a third of all rows hold is still split over many tasks. Where
+    values hardly repeat, `spread_ties=False` saves writing the input places;
+    the index is as good, only a frequent value would stay in one task.
     """
     if df.isStreaming:
         raise ValueError("a dense index needs a bounded table; use it inside foreachBatch")
-    placed = _write_places(df, "index-input")
-    if order_by is not None:
+    if order_by is None:
+        placed = _write_places(df, "index")
+    else:
         keys = [order_by] if isinstance(order_by, str) else list(order_by)
-        ranged = placed.repartitionByRange(*keys, "_place").sortWithinPartitions(*keys, "_place")
-        placed = _write_places(ranged.drop("_place"), "index-sorted")
+        source, ties = df, []
+        if spread_ties:
+            source, ties = _write_places(df, "index-input"), ["_place"]
+        ranged = source.repartitionByRange(*keys, *ties).sortWithinPartitions(*keys, *ties)
+        placed = _write_places(ranged.select(*df.columns), "index")
 
     partition = F.shiftright("_place", _POSITION_BITS)
     counts = placed.groupBy(partition.alias("_partition")).agg(F.count(F.lit(1)).alias("_rows"))

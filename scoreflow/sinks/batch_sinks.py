@@ -27,25 +27,33 @@ def result_rows(
     )
 
 
-def text_sink(path: str, line: Column | str) -> Sink:
-    return lambda df, batch: writers.write_text(df, path, line, batch=batch)
+# `keyed=False` appends instead of replacing the batch's own partition. A repeated
+# batch is then written twice, but a stream that runs for long makes no partition
+# per batch.
 
 
-def key_minutes_sink(path: str, key: str = "PNO", minutes: str = "minutes") -> Sink:
+def text_sink(path: str, line: Column | str, keyed: bool = True) -> Sink:
+    return lambda df, batch: writers.write_text(df, path, line, "append", batch if keyed else None)
+
+
+def key_minutes_sink(path: str, key: str = "PNO", minutes: str = "minutes", keyed: bool = True) -> Sink:
     """`key,minutes` lines."""
-    return text_sink(path, key_minutes_line(F.col(key), F.col(minutes)))
+    return text_sink(path, key_minutes_line(F.col(key), F.col(minutes)), keyed)
 
 
-def csv_sink(path: str) -> Sink:
-    return lambda df, batch: writers.write_csv(df, path, batch=batch)
+def csv_sink(path: str, keyed: bool = True) -> Sink:
+    return lambda df, batch: writers.write_csv(df, path, batch=batch if keyed else None)
 
 
-def parquet_sink(path: str) -> Sink:
-    return lambda df, batch: writers.write_parquet(df, path, batch=batch)
+def parquet_sink(path: str, keyed: bool = True) -> Sink:
+    return lambda df, batch: writers.write_parquet(df, path, batch=batch if keyed else None)
 
 
-def result_table_sink(table: str, path: str | None = None) -> Sink:
-    return lambda df, batch: writers.write_table(result_rows(df), table, path, batch=batch)
+def result_table_sink(table: str, path: str | None = None, keyed: bool = True) -> Sink:
+    def write(df: DataFrame, batch: Batch) -> None:
+        writers.write_table(result_rows(df), table, path, batch if keyed else None)
+
+    return write
 
 
 def result_jdbc_sink(
