@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 
+from scoreflow.operators.keys import SortKeys, sort_keys
+
 
-def preview(df: DataFrame, n: int = 10, order_by: str | Sequence[str] | None = None) -> DataFrame:
+def preview(df: DataFrame, n: int = 10, order_by: SortKeys = ()) -> DataFrame:
     """The first `n` rows; with `order_by` the same ones every time."""
-    if order_by is not None:
-        df = df.orderBy(*([order_by] if isinstance(order_by, str) else order_by))
-    return df.limit(n)
+    keys = sort_keys(order_by)
+    return (df.orderBy(*keys) if keys else df).limit(n)
 
 
 def schema_report(df: DataFrame) -> DataFrame:

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from scoreflow.operators.keys import SortKeys, sort_keys
 from scoreflow.session import scratch_path
 
 # Offsets hold one row (16 bytes) per written file; above this they are joined by shuffle.
@@ -24,7 +23,7 @@ def distribute(df: DataFrame, partitions: int | None = None) -> DataFrame:
 
 def with_dense_index(
     df: DataFrame,
-    order_by: str | Sequence[str] | None = None,
+    order_by: SortKeys = (),
     name: str = "row_id",
     spread_ties: bool = True,
 ) -> DataFrame:
@@ -44,10 +43,10 @@ def with_dense_index(
     """
     if df.isStreaming:
         raise ValueError("a dense index needs a bounded table; use it inside foreachBatch")
-    if order_by is None:
+    keys = sort_keys(order_by)
+    if not keys:
         placed = _write_places(df, "index")
     else:
-        keys = [order_by] if isinstance(order_by, str) else list(order_by)
         source, ties = df, []
         if spread_ties:
             source, ties = _write_places(df, "index-input"), ["_place"]

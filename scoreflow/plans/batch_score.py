@@ -17,6 +17,7 @@ from scoreflow.operators import (
     score_trees,
     with_dense_index,
 )
+from scoreflow.operators.keys import SortKeys
 
 
 def score(df: DataFrame, model, columns: Sequence[str]) -> DataFrame:
@@ -48,7 +49,7 @@ def score_indexed_lines(
     model,
     layout: FieldLayout = MRI11,
     policy: str = "strict",
-    order_by: str | Sequence[str] | None = None,
+    order_by: SortKeys = (),
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """(`row_id`, `prediction`) for the nonblank lines, numbered from 0.

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from scoreflow.functions.sqltext import literal
+
 Batch = tuple[str, int]
 BATCH_COLUMNS = ("stream_id", "batch_id")
 
@@ -50,11 +52,15 @@ def write_table(
         if batch is not None:
             empty = empty.partitionBy(*BATCH_COLUMNS)
         empty.mode("ignore").saveAsTable(table)
-    rows = rows.select(*spark.table(table).columns)
     if batch is None:
-        rows.write.insertInto(table)
-    else:
-        rows.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+        rows.select(*spark.table(table).columns).write.insertInto(table)
+        return
+    # Name the partition: an overwriting insertInto() would empty the whole table.
+    columns = [c for c in spark.table(table).columns if c not in BATCH_COLUMNS]
+    stream_id, batch_id = batch
+    target = f"{table} PARTITION (stream_id = {literal(stream_id)}, batch_id = {int(batch_id)})"
+    target = target.replace("{", "{{").replace("}", "}}")
+    spark.sql(f"INSERT OVERWRITE TABLE {target} SELECT * FROM {{rows}}", rows=df.select(*columns))
 
 
 def jdbc_options(properties: dict[str, str], connections: int = 8, batch_rows: int = 10_000) -> dict[str, str]:
