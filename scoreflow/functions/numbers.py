@@ -29,9 +29,18 @@ def int_text_sql(text: str) -> str:
     )
 
 
-def float_text_sql(text: str) -> str:
-    """Decimal number in `text` as double, or NULL; rejects `5d`, `5f` and hexadecimal."""
-    return f"if({text} RLIKE r'{_FLOAT}', try_cast(replace({text}, '_', '') AS double), NULL)"
+def float_text_sql(text: str, lettered: str | None = None) -> str:
+    """Decimal number in `text` as double, or NULL; rejects `5d`, `5f` and hexadecimal.
+
+    Only texts with a letter or `_`, such as exponents, need the full check.
+    `lettered` is SQL that tells so for several texts at once.
+    """
+    checked = f"if({text} RLIKE r'{_FLOAT}', try_cast(replace({text}, '_', '') AS double), NULL)"
+    return f"if({lettered or lettered_sql(text)}, {checked}, try_cast({text} AS double))"
+
+
+def lettered_sql(text: str) -> str:
+    return f"{text} RLIKE '[a-zA-Z_]'"
 
 
 def int_text(column: str) -> Column:

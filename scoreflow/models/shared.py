@@ -8,13 +8,13 @@ from pyspark import cloudpickle
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import SparkSession
 
-import scoreflow.models.trees as _trees
+import scoreflow
 
 # A model that does not fit this is refused rather than shipped to every executor.
 MAX_MODEL_BYTES = 1 << 30
 
-# Executors need no copy of this package to read a tree ensemble.
-cloudpickle.register_pickle_by_value(_trees)
+# Executors need no copy of this package: what a task uses of it travels with the task.
+cloudpickle.register_pickle_by_value(scoreflow)
 
 
 class _ByValue:

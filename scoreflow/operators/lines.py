@@ -7,14 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from scoreflow.fixed_values import CHECKED_FIELD
-from scoreflow.functions.numbers import float_text_sql, int_text_sql
+from scoreflow.functions.numbers import float_text_sql, int_text_sql, lettered_sql
 from scoreflow.functions.sqltext import literal, name
 from scoreflow.layouts import FieldLayout
 
 POLICIES = ("strict", "drop", "null")
 SHORT_ROWS = ("drop", "fail")
 
-_READERS = {"bigint": int_text_sql, "double": float_text_sql, "string": lambda text: text}
+_READERS = {
+    "bigint": int_text_sql,
+    "double": lambda text: float_text_sql(text, "_lettered"),
+    "string": lambda text: text,
+}
 
 
 def drop_blank(df: DataFrame, value: str = "value") -> DataFrame:
@@ -72,7 +76,12 @@ def parse_delimited(
     _one_of("policy", policy, POLICIES)
     _one_of("short_rows", short_rows, SHORT_ROWS)
     kept = [name(c) for c in keep]
-    parts = df.selectExpr(*kept, f"{name(value)} AS _line", f"{_split(value, layout.separator)} AS _parts")
+    parts = df.selectExpr(
+        *kept,
+        f"{name(value)} AS _line",
+        f"{_split(value, layout.separator)} AS _parts",
+        f"{lettered_sql(name(value))} AS _lettered",
+    )
     fields = [
         f"{_READERS[type_](f'get(_parts, {i})')} AS {name(column)}"
         for i, (column, type_) in enumerate(layout.fields)

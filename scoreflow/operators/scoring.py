@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.core.broadcast import Broadcast
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, functions as F
@@ -45,19 +45,21 @@ def score_python(
 def python_scorer(shared: Broadcast) -> Callable[..., Column]:
     """A vectorised scoring function over feature columns, for `select` or SQL use."""
 
-    def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+    def score(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         model = shared.value
         for features in batches:
             known = np.ones(len(features[0]), dtype=bool)
             for feature in features:
-                known &= feature.notna().to_numpy()
-            out = np.full(len(known), np.nan)
+                if feature.null_count:
+                    known &= feature.is_valid().to_numpy(zero_copy_only=False)
+            out = np.zeros(len(known))
             if known.any():
-                rows = [f.to_numpy() if known.all() else f[known].to_numpy() for f in features]
-                out[known] = np.asarray(model.predict(np.column_stack(rows))).reshape(-1)
-            yield pd.Series(out).where(known, None)
+                whole = features if known.all() else [f.filter(pa.array(known)) for f in features]
+                rows = np.column_stack([f.to_numpy(zero_copy_only=False) for f in whole])
+                out[known] = np.asarray(model.predict(rows)).reshape(-1)
+            yield pa.array(out, mask=~known)
 
-    return F.pandas_udf(score, "double")
+    return F.arrow_udf(score, "double")
 
 
 def score_mllib(
