@@ -6,8 +6,9 @@ import struct
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from scoreflow.operators import visit_partitions
 from scoreflow.session import scratch_path
@@ -39,13 +40,31 @@ def write_page_images(pages: DataFrame) -> str:
     return path
 
 
-def page_pixels(pixels: DataFrame) -> DataFrame:
+def page_of(origin: str) -> Column:
+    return F.regexp_extract(origin, r"page-(\d+)\.png$", 1)
+
+
+def page_pixels(pixels: DataFrame, page: Column) -> DataFrame:
     """Page id and image facts, with a digest of the pixels."""
-    page_id = F.regexp_extract("origin", r"page-(\d+)\.png$", 1).cast("bigint")
     return pixels.select(
-        page_id.alias("page_id"),
+        page.cast("bigint").alias("page_id"),
         F.col("width").cast("bigint").alias("width"),
         F.col("height").cast("bigint").alias("height"),
         F.col("nChannels").cast("bigint").alias("channels"),
         F.md5("data").alias("pixels_md5"),
     )
+
+
+def page_payloads(pages: DataFrame) -> DataFrame:
+    """(`key`, `value`) with each page as a raw gray map: a header line, then the bytes."""
+    header = F.format_string("P5 %s 1 255\n", F.octet_length("html"))
+    value = F.concat(F.encode(header, "UTF-8"), F.encode("html", "UTF-8"))
+    return pages.select(F.col("page_id").cast("string").alias("key"), value.alias("value"))
+
+
+def decode_gray_map(payload: bytes) -> np.ndarray | None:
+    header, _, pixels = payload.partition(b"\n")
+    kind, width, height, _ = header.split(b" ")
+    if kind != b"P5":
+        return None
+    return np.frombuffer(pixels, np.uint8).reshape(int(height), int(width))

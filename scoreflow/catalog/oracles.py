@@ -191,4 +191,5 @@ ORACLES: dict[str, str] = {
     "utf8_encode": "SELECT page_id, CAST(strlen(html) AS BIGINT) AS size, md5(html) AS bytes_md5 FROM pages",
     "image_read": _PAGE_IMAGE,
     "image_stream": _PAGE_IMAGE,
+    "image_payload_stream": _PAGE_IMAGE,
 }

@@ -17,7 +17,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from scoreflow import plans
 from scoreflow.catalog import feeds
 from scoreflow.catalog.feeds import BOOST3, BOOST8, FOREST4, table
-from scoreflow.catalog.images import page_pixels, write_page_images
+from scoreflow.catalog.images import (
+    decode_gray_map,
+    page_of,
+    page_payloads,
+    page_pixels,
+    write_page_images,
+)
 from scoreflow.fixed_values import CHECKED_FIELD
 from scoreflow.functions import (
     int_vector,
@@ -57,6 +63,7 @@ from scoreflow.sinks import (
     write_text,
 )
 from scoreflow.sources import (
+    keyed_bytes,
     keyed_text,
     read_csv,
     read_images,
@@ -70,6 +77,9 @@ from scoreflow.streaming import start_fan_out, start_files
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# A replay of any size runs in micro-batches of at most this much input.
+REPLAY_BYTES = 256 << 30
+
 
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
@@ -366,7 +376,7 @@ def stream_score_replay(spark, sf_dir):
     """Lines from a folder, scored as a stream into text files."""
     source = feeds.write_lines(keep_int_field(_lines(spark, sf_dir)), "stream-lines")
     target, checkpoint = scratch_path(spark, "stream-text"), scratch_path(spark, "stream-checkpoint")
-    scored = plans.score_stream(stream_lines(spark, source), FOREST4)
+    scored = plans.score_stream(stream_lines(spark, source, max_bytes=REPLAY_BYTES), FOREST4)
     predictions = scored.select(F.col("prediction").cast("string").alias("value"))
     start_files(predictions, "text", target, checkpoint, interval=None).awaitTermination()
     return read_lines(spark, target).select(F.col("value").cast("double").alias("prediction"))
@@ -378,7 +388,7 @@ def stream_kafka8_seconds(spark, sf_dir):
     source = scratch_path(spark, "kafka8")
     records = feeds.kafka8_records(_orders(spark, sf_dir))
     write_parquet(records, source)
-    stream = stream_parquet(spark, source, records.schema)
+    stream = stream_parquet(spark, source, records.schema, max_bytes=REPLAY_BYTES)
     rows = parse_delimited(stream, KAFKA8, keep=["key"])
     scored = score_python(rows, BOOST8, KAFKA8.columns)
     out = scored.select(
@@ -395,7 +405,7 @@ def stream_fan_out(spark, sf_dir):
     source = scratch_path(spark, "keyed7")
     records = feeds.keyed7_records(_orders(spark, sf_dir))
     write_parquet(records, source)
-    scored = plans.score_keyed_stream(stream_parquet(spark, source, records.schema), BOOST3)
+    scored = plans.score_keyed_stream(stream_parquet(spark, source, records.schema, max_bytes=REPLAY_BYTES), BOOST3)
     name = f"result_{uuid.uuid4().hex}"
     table_path, topic, file, checkpoint = (
         scratch_path(spark, label) for label in ("fan-table", "fan-topic", "fan-file", "stream-checkpoint")
@@ -423,7 +433,7 @@ def stream_named_projection(spark, sf_dir):
     records = feeds.keyed7_records(_orders(spark, sf_dir))
     write_parquet(records, source)
     view = f"input_{uuid.uuid4().hex}"
-    register_view(plans.named_pairs(stream_parquet(spark, source, records.schema)), view)
+    register_view(plans.named_pairs(stream_parquet(spark, source, records.schema, max_bytes=REPLAY_BYTES)), view)
     pairs = spark.sql(f"select PNO, usetime from {view}")
     target, checkpoint = scratch_path(spark, "pairs"), scratch_path(spark, "stream-checkpoint")
     start_files(pairs, "parquet", target, checkpoint, interval=None).awaitTermination()
@@ -435,7 +445,7 @@ def stream_named_projection(spark, sf_dir):
 def stream_events_keyed(spark, sf_dir):
     """Events as (key, value) bytes, the way a topic delivers them, to text pairs."""
     schema = table(spark, sf_dir, "events").schema
-    events = stream_parquet(spark, sf_dir, schema, glob="events.parquet")
+    events = stream_parquet(spark, sf_dir, schema, glob="events.parquet", max_bytes=REPLAY_BYTES)
     value = F.concat_ws(",", F.col("event_id").cast("string"), "event_type", "props")
     records = events.select(
         F.col("user_id").cast("string").cast("binary").alias("key"), F.encode(value, "UTF-8").alias("value")
@@ -474,13 +484,26 @@ def utf8_encode(spark, sf_dir):
 @query
 def image_read(spark, sf_dir):
     path = write_page_images(table(spark, sf_dir, "pages"))
-    return page_pixels(plans.image_pixels(read_images(spark, path)))
+    return page_pixels(plans.image_pixels(read_images(spark, path)), page_of("origin"))
 
 
 @query
 def image_stream(spark, sf_dir):
     path = write_page_images(table(spark, sf_dir, "pages"))
-    pixels = page_pixels(plans.image_pixels(stream_images(spark, path)))
+    pixels = page_pixels(plans.image_pixels(stream_images(spark, path, max_bytes=REPLAY_BYTES)), page_of("origin"))
+    target, checkpoint = scratch_path(spark, "pixels"), scratch_path(spark, "stream-checkpoint")
+    start_files(pixels, "parquet", target, checkpoint, interval=None).awaitTermination()
+    return spark.read.schema(pixels.schema).parquet(target)
+
+
+@query
+def image_payload_stream(spark, sf_dir):
+    """Images that arrive as bytes of a keyed record, decoded on the stream."""
+    source = scratch_path(spark, "payloads")
+    records = page_payloads(table(spark, sf_dir, "pages"))
+    write_parquet(records, source)
+    stream = keyed_bytes(stream_parquet(spark, source, records.schema, max_bytes=REPLAY_BYTES))
+    pixels = page_pixels(plans.decode_images(stream, decode_gray_map), F.col("key"))
     target, checkpoint = scratch_path(spark, "pixels"), scratch_path(spark, "stream-checkpoint")
     start_files(pixels, "parquet", target, checkpoint, interval=None).awaitTermination()
     return spark.read.schema(pixels.schema).parquet(target)

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from scoreflow.functions import clean_utf8, encode_utf8
 
+PIXELS = "struct<width:int,height:int,nChannels:int,data:binary>"
+
 
 def payload_text(records: DataFrame) -> DataFrame:
     """(`key`, bytes `value`) to (`key`, `text`), invalid bytes left out."""
@@ -22,3 +28,32 @@ def image_pixels(images: DataFrame) -> DataFrame:
     return images.select(
         "image.origin", "image.width", "image.height", "image.nChannels", "image.data"
     )
+
+
+def decode_images(
+    records: DataFrame, decode: Callable[[bytes], np.ndarray | None], value: str = "value"
+) -> DataFrame:
+    """Image bytes in a column, as from a topic, to pixels.
+
+    `decode` turns bytes into an array of rows, columns and, if there are
+    several, channels, e.g. with the codec of an image library. Payloads it
+    answers with None are left out. For files prefer `read_images`, which needs
+    no Python.
+    """
+
+    def unpack(payloads: pd.Series) -> pd.DataFrame:
+        rows = []
+        for payload in payloads:
+            pixels = None if payload is None else decode(payload)
+            if pixels is None:
+                rows.append((None, None, None, None))
+            else:
+                height, width, channels = (*pixels.shape, 1)[:3]
+                rows.append((width, height, channels, np.ascontiguousarray(pixels, np.uint8).tobytes()))
+        return pd.DataFrame(rows, columns=["width", "height", "nChannels", "data"])
+
+    # One evaluation per payload: the filter below must not repeat the decoding.
+    unpacked = F.pandas_udf(unpack, PIXELS).asNondeterministic()
+    kept = [c for c in records.columns if c != value]
+    images = records.select(*kept, unpacked(value).alias("image")).filter("image.width > 0")
+    return images.select(*kept, "image.width", "image.height", "image.nChannels", "image.data")

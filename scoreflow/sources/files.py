@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.types import StructType
 
 # Schema of Spark's image source, which a stream needs up front.
@@ -30,15 +31,19 @@ def read_csv(
     return reader.csv(path)
 
 
-def stream_lines(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+# Streams over folders take `limits`, which bound a micro-batch and with it what a
+# failed batch has to do again: max_files=..., or max_bytes=... of input.
+
+
+def stream_lines(spark: SparkSession, path: str, **limits) -> DataFrame:
     """New text files of a folder as a stream of lines."""
-    return _stream(spark, "text", None, max_files).load(path)
+    return _stream(spark, "text", None, **limits).load(path)
 
 
 def stream_parquet(
-    spark: SparkSession, path: str, schema: str | StructType, max_files: int | None = None, glob: str | None = None
+    spark: SparkSession, path: str, schema: str | StructType, glob: str | None = None, **limits
 ) -> DataFrame:
-    reader = _stream(spark, "parquet", schema, max_files)
+    reader = _stream(spark, "parquet", schema, **limits)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.load(path)
@@ -57,16 +62,20 @@ def read_images(spark: SparkSession, path: str, drop_invalid: bool = True) -> Da
     return spark.read.format("image").option("dropInvalid", drop_invalid).load(path)
 
 
-def stream_images(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+def stream_images(spark: SparkSession, path: str, **limits) -> DataFrame:
     """New image files of a folder; files that are no image are left out."""
-    images = _stream(spark, "image", IMAGE_SCHEMA, max_files).load(path)
+    images = _stream(spark, "image", IMAGE_SCHEMA, **limits).load(path)
     return images.filter("image.width > 0")
 
 
-def _stream(spark: SparkSession, fmt: str, schema, max_files: int | None):
+def _stream(
+    spark: SparkSession, fmt: str, schema, max_files: int | None = None, max_bytes: int | None = None
+) -> DataStreamReader:
     reader = spark.readStream.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader

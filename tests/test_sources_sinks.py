@@ -28,6 +28,7 @@ from scoreflow.sources import (
     read_lines,
     stream_images,
     stream_kafka,
+    stream_lines,
     stream_socket,
 )
 
@@ -182,6 +183,30 @@ def test_images(spark, tmp_path):
     assert raw["bad.png"] == b"no image"
 
 
+def test_payload_images(spark):
+    import numpy as np
+
+    def decode(payload):
+        return None if payload[:1] == b"!" else np.frombuffer(payload, np.uint8).reshape(2, -1, 3)
+
+    records = spark.createDataFrame(
+        [("a", bytes(range(12))), ("b", b"!"), ("c", None)], "key string, value binary")
+    got = plans.decode_images(records, decode).collect()
+    assert [(r.key, r.width, r.height, r.nChannels, bytes(r.data)) for r in got] == [("a", 2, 2, 3, bytes(range(12)))]
+    plan = plans.decode_images(records, decode)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_limits_of_a_file_stream(spark, tmp_path):
+    for i in range(4):
+        (tmp_path / f"{i}.txt").write_text("12345\n" * 10)
+    for limits, expected in (({"max_files": 3}, 2), ({"max_bytes": 60}, 4), ({}, 1)):
+        lines = stream_lines(spark, str(tmp_path), **limits)
+        query = lines.writeStream.format("noop").trigger(availableNow=True).start()
+        query.awaitTermination()
+        assert len([p for p in query.recentProgress if p["numInputRows"]]) == expected, limits
+
+
 def test_payloads(spark):
     records = spark.createDataFrame([("k", b"a\xffb")], "key string, value binary")
     assert tuple(plans.payload_text(records).first()) == ("k", "ab")
