@@ -154,7 +154,7 @@ ORACLES: dict[str, str] = {
         f'WITH {_PARSED} SELECT "PNO", CAST("IO_n" * 300 + "SEX_n" * 60 AS DOUBLE) AS prediction FROM good',
     "score_mllib_boosted":
         f'WITH {_PARSED} SELECT "PNO", CAST("IO_n" * 300 + "SEX_n" * 60 AS DOUBLE) AS prediction FROM good',
-    "model_error": f"""WITH {_FEED}
+    "mape": f"""WITH {_FEED}
         SELECT round(avg(abs((60 + k % 3600 - {_FOREST}) / nullif(60 + k % 3600, 0))) * 100, 6) AS mape FROM feed""",
     "sink_text_roundtrip": f"WITH {_FOREST_SCORED} SELECT prediction FROM scored",
     "sink_csv_roundtrip": f'WITH {_FOREST_MINUTES} SELECT "PNO", prediction, seconds, minutes FROM timed',
@@ -167,7 +167,7 @@ ORACLES: dict[str, str] = {
         SELECT "PNO", 'The AI predict that ' || prediction || ' seconds to detect from  MRI' AS message,
                'This patient need ' || prediction || ' seconds to detect from MRI' AS line FROM timed""",
     "message_line": f"""WITH {_KEYED_SCORED} SELECT "PNO" || ',' || minutes AS line FROM timed""",
-    "preview_longest": f"""WITH {_FOREST_MINUTES}
+    "preview": f"""WITH {_FOREST_MINUTES}
         SELECT "PNO", prediction, seconds, minutes FROM timed ORDER BY prediction DESC, "PNO" LIMIT 20""",
     "stream_score_replay": f"WITH {_FOREST_SCORED} SELECT prediction FROM scored",
     "stream_kafka8_seconds": f"""WITH {_FEED}, stepped AS (
@@ -185,7 +185,7 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'file', "PNO" || ',' || minutes FROM timed""",
     "stream_named_projection": f"""WITH {_FEED}
         SELECT o_totalprice / 100 AS "PNO", CAST("ORDERDR_n" AS VARCHAR) AS usetime FROM feed""",
-    "stream_events_keyed": """SELECT CAST(user_id AS VARCHAR) AS "key",
+    "stream_events_parquet": """SELECT CAST(user_id AS VARCHAR) AS "key",
         concat_ws(',', event_id, event_type, props) AS "value" FROM events""",
     "utf8_clean": 'SELECT page_id, html AS "text" FROM pages',
     "utf8_encode": "SELECT page_id, CAST(strlen(html) AS BIGINT) AS size, md5(html) AS bytes_md5 FROM pages",

@@ -82,7 +82,7 @@ REPLAY_BYTES = 256 << 30
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    QUERIES[fn.__name__.removesuffix("_")] = fn
     return fn
 
 
@@ -286,7 +286,7 @@ def score_mllib_boosted(spark, sf_dir):
 
 
 @query
-def model_error(spark, sf_dir):
+def mape_(spark, sf_dir):
     rows = feeds.features(_orders(spark, sf_dir)).withColumn("SECOND", 60 + F.col("k") % 3600)
     error = mape(score_trees(rows, FOREST4), "SECOND", "prediction")
     return error.select(F.round("mape", 6).alias("mape"))
@@ -363,7 +363,7 @@ def message_line(spark, sf_dir):
 
 
 @query
-def preview_longest(spark, sf_dir):
+def preview_(spark, sf_dir):
     rows = _batch_minutes(spark, sf_dir)
     return preview(rows, 20, [F.desc("prediction"), F.asc("PNO")])
 
@@ -442,7 +442,7 @@ def stream_named_projection(spark, sf_dir):
 
 
 @query
-def stream_events_keyed(spark, sf_dir):
+def stream_events_parquet(spark, sf_dir):
     """Events as (key, value) bytes, the way a topic delivers them, to text pairs."""
     schema = table(spark, sf_dir, "events").schema
     events = stream_parquet(spark, sf_dir, schema, glob="events.parquet", max_bytes=REPLAY_BYTES)

@@ -72,24 +72,27 @@ class TreeEnsemble:
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         """Predictions for the rows of a 2-D array, one tree level at a time."""
-        x = np.asarray(x)
-        rows = np.arange(len(x))
-        total = np.zeros(len(x))
+        x = np.asarray(x, dtype=np.float64)
+        n = len(x)
+        cells = np.ascontiguousarray(x.T).ravel()  # one feature after the other
+        rows = np.arange(n)
+        total = np.zeros(n)
+        compare = np.less_equal if self.split == "le" else np.less
         for table in self._tables:
-            node = np.zeros(len(x), dtype=np.int64)
+            node = np.zeros(n, dtype=np.int64)
             for _ in range(table["depth"]):
-                value = x[rows, table["column"][node]]
-                threshold = table["threshold"][node]
-                yes = value <= threshold if self.split == "le" else value < threshold
-                node = np.where(yes, table["yes"][node], table["no"][node])
-            total += table["value"][node]
+                value = cells.take(table["column"].take(node) * n + rows)
+                yes = compare(value, table["threshold"].take(node))
+                node = table["next"].take(2 * node + yes)
+            total += table["value"].take(node)
         if self.combine == "mean":
             total /= len(self._tables)
         return total + self.base
 
 
 def _tables(tree: dict, features: list[str]) -> dict:
-    """A tree as arrays indexed by node; a leaf is its own successor."""
+    """A tree as arrays indexed by node. `next` holds the "no" and "yes" successors of
+    each node in turn; a leaf is its own successor."""
     feature, threshold, yes, no, value = [], [], [], [], []
 
     def add(node: dict) -> tuple[int, int]:
@@ -112,8 +115,7 @@ def _tables(tree: dict, features: list[str]) -> dict:
         "feature": feature,
         "column": np.maximum(feature, 0),
         "threshold": np.array(threshold),
-        "yes": np.array(yes),
-        "no": np.array(no),
+        "next": np.column_stack([no, yes]).ravel(),
         "value": np.array(value),
         "depth": depth,
     }

@@ -15,7 +15,7 @@ from scoreflow.sinks import Sink
 def fan_out(sinks: Sequence[Sink], stream_id: str | None = None) -> Callable[[DataFrame, int], None]:
     """A `foreachBatch` function that hands each micro-batch to the sinks in turn.
 
-    The batch is kept while they run, so it is read and scored once. A sink that
+    With several sinks the batch is kept while they run, so it is read and scored once. A sink that
     fails fails the batch; it then runs again under the same batch id, which
     file and table sinks answer by replacing what they wrote. `stream_id` keeps
     the batches of different streams apart in one sink; by default it is the
@@ -25,12 +25,14 @@ def fan_out(sinks: Sequence[Sink], stream_id: str | None = None) -> Callable[[Da
     def write(batch: DataFrame, batch_id: int) -> None:
         context = batch.sparkSession.sparkContext
         source = stream_id or context.getLocalProperty("sql.streaming.queryId")
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        if len(sinks) > 1:
+            batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for sink in sinks:
                 sink(batch, (source, batch_id))
         finally:
-            batch.unpersist()
+            if len(sinks) > 1:
+                batch.unpersist()
 
     return write
 
