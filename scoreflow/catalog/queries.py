@@ -252,7 +252,7 @@ def score_batches(spark, sf_dir):
 @query
 def score_indexed(spark, sf_dir):
     return plans.score_indexed_lines(
-        _lines(spark, sf_dir), FOREST4, policy="drop", order_by="k", keep=["k"]
+        _lines(spark, sf_dir), FOREST4, policy="drop", order_by="k", keep=["k"], spread_ties=False
     )
 
 

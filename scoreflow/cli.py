@@ -1,7 +1,7 @@
 """Command line of the jobs, for spark-submit.
 
     spark-submit submit.py batch-score --input IN --model forest.json --output OUT
-    spark-submit submit.py keyed-stream --servers b:9092 --topic Pdata ...
+    spark-submit submit.py keyed-stream --servers b:9092 --topic visits ...
 """
 
 from __future__ import annotations
@@ -202,7 +202,7 @@ def _parser() -> argparse.ArgumentParser:
     people = job("people-sql", people_sql)
     people.add_argument("--input", required=True)
     people.add_argument("--csv", action="store_true", help="CSV with a header and inferred types")
-    people.add_argument("--query", default=plans.LONG_ADULT_VISITS)
+    people.add_argument("--query", default=fixed.PEOPLE_QUERY)
     people.add_argument("--rows", type=int, default=20)
     people.add_argument("--csv-output")
     people.add_argument("--parquet-output")

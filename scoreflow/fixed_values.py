@@ -36,3 +36,7 @@ IMAGE_INTERVAL = "10 seconds"
 # Rows shown by the console sink; partitions of a distributed table.
 CONSOLE_ROWS = 10
 TABLE_PARTITIONS = 11
+
+# The table of people and the question asked of it.
+PEOPLE_VIEW = "people"
+PEOPLE_QUERY = "select PNO, SECOND from people where AGE > 20 and IO = 2"

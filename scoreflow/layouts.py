@@ -7,7 +7,9 @@ from dataclasses import dataclass
 
 from scoreflow import fixed_values as fixed
 
-FIELD_TYPES = ("bigint", "double", "string")
+# Type of a field's text, and the SQL type it becomes. A "truncated" field is
+# written as a decimal and read as a whole number, so it must be finite.
+FIELD_TYPES = {"bigint": "bigint", "double": "double", "string": "string", "truncated": "bigint"}
 
 
 @dataclass(frozen=True)
@@ -21,7 +23,7 @@ class FieldLayout:
     def __post_init__(self):
         unknown = [t for _, t in self.fields if t not in FIELD_TYPES]
         if unknown:
-            raise ValueError(f"layout {self.name}: field types must be in {FIELD_TYPES}, got {unknown}")
+            raise ValueError(f"layout {self.name}: field types must be in {list(FIELD_TYPES)}, got {unknown}")
         if len(set(self.columns)) != len(self.fields):
             raise ValueError(f"layout {self.name}: field names repeat")
 
@@ -36,6 +38,14 @@ class FieldLayout:
     def position(self, column: str) -> int:
         return self.columns.index(column)
 
+    def truncated(self) -> FieldLayout:
+        """The same fields with decimals read as whole numbers."""
+        return FieldLayout(
+            self.name,
+            tuple((c, "truncated" if t == "double" else t) for c, t in self.fields),
+            self.separator,
+        )
+
     def rename(self, *columns: str) -> FieldLayout:
         """The same types under other names, for feeds whose fields carry no names."""
         if len(columns) != len(self.fields):

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from scoreflow.fixed_values import CHECKED_FIELD
 from scoreflow.functions.numbers import float_text_sql, int_text_sql, lettered_sql
 from scoreflow.functions.sqltext import literal, name
-from scoreflow.layouts import FieldLayout
+from scoreflow.layouts import FIELD_TYPES, FieldLayout
 
 POLICIES = ("strict", "drop", "null")
 SHORT_ROWS = ("drop", "fail")
@@ -18,6 +18,7 @@ _READERS = {
     "bigint": int_text_sql,
     "double": lambda text: float_text_sql(text, "_lettered"),
     "string": lambda text: text,
+    "truncated": lambda text: f"try_cast({float_text_sql(text, '_lettered')} AS bigint)",
 }
 
 
@@ -89,7 +90,7 @@ def parse_delimited(
     if policy == "null" and checked is None:
         return parts.selectExpr(*kept, *fields)
 
-    record_type = "struct<" + ",".join(f"{name(c)}:{t}" for c, t in layout.fields) + ">"
+    record_type = "struct<" + ",".join(f"{name(c)}:{FIELD_TYPES[t]}" for c, t in layout.fields) + ">"
     rows = "array(_record)"
     if policy != "null":
         whole = " AND ".join(f"_record.{name(c)} IS NOT NULL" for c in layout.columns)

@@ -1,6 +1,6 @@
 from scoreflow.plans.batch_score import score, score_indexed_lines, score_lines
 from scoreflow.plans.payloads import decode_images, image_pixels, payload_bytes, payload_text
-from scoreflow.plans.people_sql import LONG_ADULT_VISITS, export_people, people, query_people
+from scoreflow.plans.people_sql import export_people, people, query_people
 from scoreflow.plans.stream_score import (
     named_pairs,
     publish_minutes,
@@ -9,7 +9,7 @@ from scoreflow.plans.stream_score import (
 )
 
 __all__ = [
-    "LONG_ADULT_VISITS", "decode_images", "export_people", "image_pixels", "named_pairs", "payload_bytes",
+    "decode_images", "export_people", "image_pixels", "named_pairs", "payload_bytes",
     "payload_text", "people", "publish_minutes", "query_people", "score", "score_indexed_lines",
     "score_keyed_stream", "score_lines", "score_stream",
 ]

@@ -51,6 +51,7 @@ def score_indexed_lines(
     policy: str = "strict",
     order_by: SortKeys = (),
     keep: Sequence[str] = (),
+    spread_ties: bool = True,
 ) -> DataFrame:
     """(`row_id`, `prediction`) for the nonblank lines, numbered from 0.
 
@@ -58,5 +59,5 @@ def score_indexed_lines(
     table it needs depends on how expensive the model is.
     """
     rows = parse_delimited(drop_blank(lines), layout, policy, keep=keep)
-    indexed = with_dense_index(rows, order_by)
+    indexed = with_dense_index(rows, order_by, spread_ties=spread_ties)
     return score(indexed, model, layout.columns).select("row_id", "prediction")

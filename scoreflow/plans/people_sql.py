@@ -4,21 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from scoreflow.fixed_values import PEOPLE_QUERY, PEOPLE_VIEW
 from scoreflow.layouts import PEOPLE9
 from scoreflow.operators import parse_delimited, run_sql
 from scoreflow.sinks import write_csv, write_parquet
 
-VIEW = "people"
-LONG_ADULT_VISITS = "select PNO, SECOND from people where AGE > 20 and IO = 2"
-
 
 def people(lines: DataFrame, policy: str = "strict") -> DataFrame:
     return parse_delimited(lines, PEOPLE9, policy)
 
 
-def query_people(table: DataFrame, text: str = LONG_ADULT_VISITS, **args) -> DataFrame:
+def query_people(table: DataFrame, text: str = PEOPLE_QUERY, **args) -> DataFrame:
     """Run SQL over `people`. A Parquet-backed table gets the filter in its scan."""
-    return run_sql(text, {VIEW: table}, **args)
+    return run_sql(text, {PEOPLE_VIEW: table}, **args)
 
 
 def export_people(table: DataFrame, csv_path: str, parquet_path: str) -> None:

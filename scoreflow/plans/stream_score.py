@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from scoreflow.functions import minutes_message, truncate
+from scoreflow.functions import minutes_message
 from scoreflow.layouts import KEYED7, MRI11, PAIR, FieldLayout
 from scoreflow.operators import parse_delimited, project_pair, with_minutes, with_seconds
 from scoreflow.plans.batch_score import score
@@ -29,11 +29,11 @@ def score_keyed_stream(
 ) -> DataFrame:
     """(`key`, `value`) records to (`PNO`, `prediction`, `seconds`, `minutes`).
 
-    Features arrive as decimals and are truncated to whole numbers.
+    Features arrive as decimals and are truncated to whole numbers. What is no
+    finite number falls under `policy`.
     """
-    rows = parse_delimited(records, layout, policy, keep=["key", *keep])
-    features = [truncate(F.col(c)).alias(c) for c in layout.columns]
-    scored = score(rows.select("key", *keep, *features), model, layout.columns)
+    rows = parse_delimited(records, layout.truncated(), policy, keep=["key", *keep])
+    scored = score(rows, model, layout.columns)
     result = with_minutes(with_seconds(scored))
     return result.select(F.col("key").alias("PNO"), *keep, "prediction", "seconds", "minutes")
 

@@ -81,6 +81,16 @@ def test_decimals(lines):
     assert parse_delimited(lines("12d,33,7,1,54,4,2"), KEYED7, "drop").count() == 0
 
 
+def test_truncated_decimals_must_be_finite(lines):
+    layout = KEYED7.truncated()
+    good, bad = "12.9,33,7,1,54,4,-2.5", "1,inf,7,1,54,4,2"
+    assert parse_delimited(lines(good), layout).dtypes == [(c, "bigint") for c in KEYED7.columns]
+    assert values(parse_delimited(lines(good, bad), layout, "drop")) == [(12, 33, 7, 1, 54, 4, -2)]
+    assert values(parse_delimited(lines(bad), layout, "null")) == [(1, None, 7, 1, 54, 4, 2)]
+    with pytest.raises(Exception, match="does not fit"):
+        parse_delimited(lines("nan,1,7,1,54,4,2"), layout).collect()
+
+
 def test_pair_takes_what_is_there(lines):
     assert values(project_pair(lines("P17,21,x", "only"), PAIR)) == [("P17", "21"), ("only", None)]
 

@@ -53,8 +53,8 @@ def test_csv_with_and_without_schema(spark, tmp_path):
 
 
 def test_kafka_reader_options():
-    assert kafka_options("b:9092", "Pdata", group="g", min_partitions=3, starting="earliest", max_offsets=10) == {
-        "kafka.bootstrap.servers": "b:9092", "subscribe": "Pdata", "kafka.group.id": "g",
+    assert kafka_options("b:9092", "visits", group="g", min_partitions=3, starting="earliest", max_offsets=10) == {
+        "kafka.bootstrap.servers": "b:9092", "subscribe": "visits", "kafka.group.id": "g",
         "minPartitions": "3", "startingOffsets": "earliest", "maxOffsetsPerTrigger": "10"}
     assert kafka_options("b:9092", "t") == {
         "kafka.bootstrap.servers": "b:9092", "subscribe": "t", "startingOffsets": "latest"}
@@ -142,10 +142,10 @@ def test_jdbc_call(scored, monkeypatch):
     monkeypatch.setattr(writer, "jdbc", lambda self, url, table, mode, properties: calls.append(
         (self._df.columns, url, table, mode, properties)))
     properties = {"user": "u", "password": "p", "driver": "d"}
-    write_jdbc(scored, "jdbc:x", "sparkt", properties)
+    write_jdbc(scored, "jdbc:x", "scores", properties)
     result_jdbc_sink("jdbc:x", "result", properties, connections=4)(scored, ("s", 7))
     result_jdbc_sink("jdbc:x", "result", properties, tag_batches=True)(scored, ("s", 7))
-    assert calls[0] == (["PNO", "minutes"], "jdbc:x", "sparkt", "append",
+    assert calls[0] == (["PNO", "minutes"], "jdbc:x", "scores", "append",
                         {"numPartitions": "8", "batchsize": "10000", **properties})
     assert calls[1][0] == ["PNO", "PRETIME", "Time"] and calls[1][4]["numPartitions"] == "4"
     assert calls[2][0] == ["PNO", "PRETIME", "Time", "stream_id", "batch_id"]
