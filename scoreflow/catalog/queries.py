@@ -374,9 +374,10 @@ def preview_(spark, sf_dir):
 @query
 def stream_score_replay(spark, sf_dir):
     """Lines from a folder, scored as a stream into text files."""
-    source = feeds.write_lines(keep_int_field(_lines(spark, sf_dir)), "stream-lines")
+    source = feeds.write_lines(_lines(spark, sf_dir), "stream-lines")
     target, checkpoint = scratch_path(spark, "stream-text"), scratch_path(spark, "stream-checkpoint")
-    scored = plans.score_stream(stream_lines(spark, source, max_bytes=REPLAY_BYTES), FOREST4)
+    lines = stream_lines(spark, source, max_bytes=REPLAY_BYTES)
+    scored = plans.score_stream(lines, FOREST4, checked=CHECKED_FIELD)
     predictions = scored.select(F.col("prediction").cast("string").alias("value"))
     start_files(predictions, "text", target, checkpoint, interval=None).awaitTermination()
     return read_lines(spark, target).select(F.col("value").cast("double").alias("prediction"))

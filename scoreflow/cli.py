@@ -16,7 +16,7 @@ from scoreflow import fixed_values as fixed, plans
 from scoreflow.functions import seconds_line, seconds_message
 from scoreflow.layouts import LAYOUTS
 from scoreflow.models import TreeEnsemble
-from scoreflow.operators import keep_int_field, preview
+from scoreflow.operators import preview
 from scoreflow.session import build_session
 from scoreflow.sinks import (
     Sink,
@@ -62,10 +62,9 @@ def batch_score(spark: SparkSession, args) -> None:
 
 def line_stream(spark: SparkSession, args) -> None:
     """Unkeyed lines: predictions to the console, and to a topic or file if named."""
-    lines = _stream(spark, args)
-    if args.checked is not None:
-        lines = keep_int_field(lines, args.checked)
-    scored = plans.score_stream(lines, _model(spark, args), LAYOUTS[args.layout], args.policy)
+    scored = plans.score_stream(
+        _stream(spark, args), _model(spark, args), LAYOUTS[args.layout], args.policy, args.checked
+    )
     sinks: list[Sink] = []
     if args.publish_topic:
         sinks.append(kafka_sink(args.publish_servers or args.servers, args.publish_topic,

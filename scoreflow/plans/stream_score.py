@@ -14,10 +14,15 @@ from scoreflow.sinks import Sink, kafka_sink
 
 
 def score_stream(
-    lines: DataFrame, model, layout: FieldLayout = MRI11, policy: str = "strict", keep: Sequence[str] = ()
+    lines: DataFrame,
+    model,
+    layout: FieldLayout = MRI11,
+    policy: str = "strict",
+    checked: int | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Parse and score the `value` column."""
-    return score(parse_delimited(lines, layout, policy, keep=keep), model, layout.columns)
+    """Parse and score the `value` column; `checked` drops lines as in the batch job."""
+    return score(parse_delimited(lines, layout, policy, checked, keep=keep), model, layout.columns)
 
 
 def score_keyed_stream(

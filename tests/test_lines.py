@@ -62,6 +62,15 @@ def test_checked_field_drops_and_the_rest_is_strict(lines):
         parse_delimited(lines(SHORT), MRI11, "strict", checked=10, short_rows="fail").collect()
 
 
+def test_checked_field_with_the_other_policies(lines):
+    df = lines(GOOD, SHORT, BAD_LAST, BAD_FIRST)
+    assert values(parse_delimited(df, MRI11, "null", checked=10)) == [tuple(NUMBERS), (None, *NUMBERS[1:])]
+    assert values(parse_delimited(df, MRI11, "drop", checked=10)) == [tuple(NUMBERS)]
+    # A checked field beyond the layout.
+    pair = FieldLayout.of("first_two", ["a", "b"], "bigint")
+    assert values(parse_delimited(lines(GOOD, SHORT), pair, checked=10)) == [(54, 1)]
+
+
 def test_strict_fails_even_if_the_bad_column_is_not_used(lines):
     with pytest.raises(Exception, match="does not fit"):
         parse_delimited(lines(BAD_FIRST), MRI11).select("TURN").collect()

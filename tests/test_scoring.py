@@ -196,3 +196,10 @@ def test_sql_preview_and_schema(spark):
     assert preview(df, 1).count() == 1
     report = [tuple(r) for r in schema_report(df).collect()]
     assert report[0] == (0, "PNO", "string", True) and len(report) == 4
+
+
+def test_scorer_in_sql(spark):
+    spark.udf.register("linear_score", python_scorer(broadcast_model(spark, LinearModel([1, 10]))))
+    df = spark.createDataFrame([(1, 2), (3, None)], "a bigint, b bigint")
+    got = run_sql("select linear_score(a, b) as p from pairs_to_score order by a", {"pairs_to_score": df})
+    assert [r.p for r in got.collect()] == [21.0, None]

@@ -231,3 +231,16 @@ def test_scratch_lies_in_the_named_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first.startswith(base + "/") and first != second
+
+
+def test_scratch_without_a_named_folder():
+    import os
+    from types import SimpleNamespace
+
+    def session(master):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default: default), sparkContext=SimpleNamespace(master=master))
+
+    assert os.path.isdir(os.path.dirname(os.path.dirname(scratch_path(session("local[2]"), "x"))))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(session("yarn"), "x")
