@@ -33,9 +33,8 @@ KAFKA_INTERVAL = "3 seconds"
 SOCKET_INTERVAL = "5 seconds"
 IMAGE_INTERVAL = "10 seconds"
 
-# Rows shown by the console sink; partitions of a distributed table.
+# Rows of each batch that the console sink shows.
 CONSOLE_ROWS = 10
-TABLE_PARTITIONS = 11
 
 # The table of people and the question asked of it.
 PEOPLE_VIEW = "people"

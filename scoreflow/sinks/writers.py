@@ -7,7 +7,9 @@ it as a whole, so a batch that runs again leaves one copy.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from urllib.parse import quote
+
+from pyspark.sql import Column, DataFrame, DataFrameWriter, functions as F
 
 from scoreflow.functions.sqltext import literal
 
@@ -25,18 +27,21 @@ def write_text(
         line = df.columns[0]
     column = F.col(line) if isinstance(line, str) else line
     lines = df.select(column.cast("string").alias("value"))
-    _writer(lines, mode, batch).text(path)
+    writer, target = _writer(lines, path, mode, batch)
+    writer.text(target)
 
 
 def write_csv(
     df: DataFrame, path: str, mode: str = "append", header: bool = False, batch: Batch | None = None
 ) -> None:
-    _writer(df, mode, batch).option("header", header).csv(path)
+    writer, target = _writer(df, path, mode, batch)
+    writer.option("header", header).csv(target)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "append", batch: Batch | None = None) -> None:
     """Give Parquet a folder of its own: a reader cannot tell it from other files there."""
-    _writer(df, mode, batch).parquet(path)
+    writer, target = _writer(df, path, mode, batch)
+    writer.parquet(target)
 
 
 def write_table(
@@ -108,8 +113,9 @@ def _tagged(df: DataFrame, batch: Batch) -> DataFrame:
     return df.withColumns({c: F.lit(v) for c, v in zip(BATCH_COLUMNS, batch)})
 
 
-def _writer(df: DataFrame, mode: str, batch: Batch | None):
+def _writer(df: DataFrame, path: str, mode: str, batch: Batch | None) -> tuple[DataFrameWriter, str]:
+    """A writer and where it writes; a batch overwrites the folder of its own partition."""
     if batch is None:
-        return df.write.mode(mode)
-    tagged = _tagged(df, batch).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    return tagged.partitionBy(*BATCH_COLUMNS)
+        return df.write.mode(mode), path
+    folders = [f"{c}={quote(str(v), safe='')}" for c, v in zip(BATCH_COLUMNS, batch)]
+    return df.write.mode("overwrite"), "/".join([path.rstrip("/"), *folders])

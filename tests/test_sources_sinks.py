@@ -108,10 +108,14 @@ def test_csv_and_parquet_append(spark, scored, tmp_path):
 
 def test_a_repeated_batch_leaves_one_copy(spark, scored, tmp_path):
     path = str(tmp_path / "out")
-    for batch in (("s", 0), ("s", 1), ("s", 1), ("other", 0)):
+    for batch in (("s", 0), ("s", 1), ("s", 1), ("a/b=c %", 0)):
         write_parquet(scored, path, batch=batch)
     got = spark.read.parquet(path).groupBy("stream_id", "batch_id").count().collect()
-    assert sorted(map(tuple, got)) == [("other", 0, 3), ("s", 0, 3), ("s", 1, 3)]
+    assert sorted(map(tuple, got)) == [("a/b=c %", 0, 3), ("s", 0, 3), ("s", 1, 3)]
+    for _ in range(2):
+        write_csv(scored, str(tmp_path / "csv"), batch=("s", 0))
+        write_text(scored, str(tmp_path / "text"), "minutes", batch=("s", 0))
+    assert spark.read.csv(str(tmp_path / "csv")).count() == spark.read.text(str(tmp_path / "text")).count() == 3
 
 
 def test_table_append_and_batches(spark, scored):
