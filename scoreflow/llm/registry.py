@@ -1,10 +1,21 @@
 """The registered queries of this package."""
 
 from scoreflow.llm.decontaminate import op9_decontaminate
+from scoreflow.llm.pii import op7_pii
 from scoreflow.llm.quality import op8_quality_rules
 from scoreflow.llm.simhash import op6_simhash
+from scoreflow.llm.tokenfiles import op10_token_files
+from scoreflow.llm.toxicity import op1_toxicity
+from scoreflow.llm.warc import op4_warc
+from scoreflow.llm.wordbpe import op2_word_bpe
 
-QUERIES = {f.__name__: f for f in (op6_simhash, op8_quality_rules, op9_decontaminate)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_toxicity, op2_word_bpe, op4_warc, op6_simhash, op7_pii, op8_quality_rules, op9_decontaminate,
+        op10_token_files,
+    )
+}
 
-#: None of these operators is SQL; tests/llm holds each against a brute-force version.
+#: Operators that SQL cannot express have none; tests/llm holds each against a brute-force version.
 ORACLES: dict[str, str] = {}
