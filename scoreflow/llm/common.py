@@ -144,3 +144,19 @@ class Words:
             total += self.hash[i : i + n] * power
         inside = np.flatnonzero(self.text[:n] == self.text[length - 1 :])
         return inside, mixed(total[inside])
+
+
+def bitmap_of(df: DataFrame, column: str, bits: int):
+    """A broadcast bitmap of a column of hashes: 2**bits bits whatever the rows, gathered as 64-bit words."""
+    rows = df.select(F.shiftrightunsigned(column, 64 - bits).alias("place")).groupBy(
+        F.shiftright("place", 6).cast("int").alias("at")
+    ).agg(F.expr("bit_or(shiftleft(1L, cast(place & 63 as int)))").alias("flags")).collect()
+    flags = np.zeros(1 << (bits - 6), np.int64)
+    for row in rows:
+        flags[row["at"]] = row["flags"]
+    return df.sparkSession.sparkContext.broadcast(flags.view(np.uint64))
+
+
+def in_bitmap(hashes: np.ndarray, flags: np.ndarray, bits: int) -> np.ndarray:
+    place = hashes >> np.uint64(64 - bits)
+    return (flags[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1

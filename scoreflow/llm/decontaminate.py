@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreflow.llm.common import Words, byte_flags, bytes_of, map_batches, stored, table
+from scoreflow.llm.common import Words, bitmap_of, byte_flags, bytes_of, in_bitmap, map_batches, stored, table
 
 WINDOW_WORDS = 13
 SHINGLE_WORDS = 5
@@ -62,22 +62,6 @@ def item_windows(benchmark: DataFrame, window_words: int, shingle_words: int) ->
     return map_batches(plain, work, "item_id string, window string, n int, shingles array<bigint>")
 
 
-def bitmap_of(shingles: DataFrame, bits: int):
-    """A broadcast bitmap of the column `shingle`: 2**bits bits at most, gathered as 64-bit words."""
-    rows = shingles.select(F.shiftrightunsigned("shingle", 64 - bits).alias("place")).groupBy(
-        F.shiftright("place", 6).cast("int").alias("at")
-    ).agg(F.expr("bit_or(shiftleft(1L, cast(place & 63 as int)))").alias("flags")).collect()
-    flags = np.zeros(1 << (bits - 6), np.int64)
-    for row in rows:
-        flags[row["at"]] = row["flags"]
-    return shingles.sparkSession.sparkContext.broadcast(flags.view(np.uint64))
-
-
-def in_bitmap(hashes: np.ndarray, flags: np.ndarray, bits: int) -> np.ndarray:
-    place = hashes >> np.uint64(64 - bits)
-    return (flags[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
-
-
 def find_hits(
     docs: DataFrame, benchmark: DataFrame, window_words: int = WINDOW_WORDS, shingle_words: int = SHINGLE_WORDS,
     bits: int = BITMAP_BITS,
@@ -94,7 +78,7 @@ def find_hits(
     unique = windows.groupBy("window").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles"))
     placed = unique.select("window", "n", F.posexplode("shingles").alias("offset", "shingle"))
     sizes = [r[0] for r in windows.select(F.least("n", F.lit(shingle_words))).distinct().collect()]  # few numbers
-    wanted = bitmap_of(placed.select("shingle"), bits)
+    wanted = bitmap_of(placed, "shingle", bits)
 
     def count_wanted(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         words = words_of(batch.column("text"))
@@ -112,7 +96,7 @@ def find_hits(
     prefixes = stored(
         ranked.where("seen > 0").select("window", "n", "rarest.*", F.least("n", F.lit(shingle_words)).alias("size")), "prefixes"
     )
-    probed = bitmap_of(prefixes.select("shingle"), bits)
+    probed = bitmap_of(prefixes, "shingle", bits)
 
     def offer(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         words = words_of(batch.column("text"))
