@@ -160,3 +160,17 @@ def bitmap_of(df: DataFrame, column: str, bits: int):
 def in_bitmap(hashes: np.ndarray, flags: np.ndarray, bits: int) -> np.ndarray:
     place = hashes >> np.uint64(64 - bits)
     return (flags[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+
+
+def join_with_hot(rows: DataFrame, unique: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """`rows` joined to `unique`, which has one row for each key and, in `count`, how many of `rows` have it.
+
+    Keys with over a thousandth of all rows, of which there are a thousand at most, are joined by
+    broadcast, so none of their rows move; the others go through an ordinary join.
+    """
+    total = unique.agg(F.sum(count)).head()[0] or 0
+    is_hot = F.col(count) * 1000 > total
+    hot, rest = unique.where(is_hot), unique.where(~is_hot)
+    near = rows.join(F.broadcast(hot), keys)
+    far = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(rest, keys)
+    return near.unionByName(far)

@@ -165,7 +165,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataF
     """The rows of `docs` that are not contaminated, unchanged."""
     bad = find_hits(docs, benchmark, **options).where("contaminated").select(
         F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("_bad_id")) & (F.xxhash64(docs["text"].cast("string")) == F.col("_bad_hash"))
+    same = docs["doc_id"].eqNullSafe(bad["_bad_id"]) & (F.xxhash64(docs["text"].cast("string")) == bad["_bad_hash"])
     return docs.join(bad, same, "left_anti")
 
 

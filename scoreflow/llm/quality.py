@@ -147,9 +147,10 @@ def quality_report(docs: DataFrame, **options) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
-    """The rows of `docs` that pass, unchanged. The texts are measured twice, which costs less than to
-    store or shuffle them."""
-    return judged(with_measures(docs), **options).where("_kept").select(*docs.columns)
+    """The rows of `docs` that pass, unchanged, whatever their columns are called. The texts are measured
+    twice, which costs less than to store or shuffle them."""
+    packed = docs.select(F.struct("*").alias("row")).select("row", "row.text", "row.lang", "row.source")
+    return judged(with_measures(packed), **options).where("_kept").select("row.*")
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

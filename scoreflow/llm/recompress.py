@@ -57,11 +57,12 @@ def join_runs(s: Symbols) -> Symbols:
     start = np.flatnonzero(np.concatenate([[True], (s.name[1:] != s.name[:-1]) | (s.text[1:] != s.text[:-1])]))
     end = np.concatenate([start[1:], [len(s.name)]]) - 1
     length = (end - start + 1).astype(np.uint64)
-    # That a run ends depends on the symbols at both sides; where the text ends, on more than words.
-    low = np.minimum(s.low[start], s.before(s.low, -FAR)[start])
-    high = np.maximum(s.high[end], s.after(s.high, FAR)[end])
+    # That a run ends depends on the symbols at both sides, and so on all that they depend on; where the
+    # text ends, on more than words.
+    low = np.minimum.reduceat(np.minimum(s.low, np.minimum(s.before(s.low, -FAR), s.after(s.low, FAR))), start)
+    high = np.maximum.reduceat(np.maximum(s.high, np.maximum(s.before(s.high, -FAR), s.after(s.high, FAR))), start)
     name = np.where(length > 1, mixed(s.name[start] + length * np.uint64(0x9E3779B97F4A7C15)), s.name[start])
-    return Symbols(name, s.text[start], s.first[start], s.last[end], np.minimum(low, s.low[start]), high)
+    return Symbols(name, s.text[start], s.first[start], s.last[end], low, high)
 
 
 def join_pairs(s: Symbols, round_: int) -> Symbols:
@@ -146,7 +147,7 @@ def cut(texts: list[bytes], window: int = WINDOW) -> Iterator[tuple[np.ndarray,
         own = value_range_hashes(name, place, place + window)
         key = np.where(alone, mixed(own + np.uint64(1)), mixed(rank + np.uint64(2)))
         at = np.where(alone, place, at)
-        first, n = runs_of(place, np.where(alone, -place - 1, at))
+        first, n = runs_of(place, at, key)
         start, anchor, key = place[first], at[first], key[first]
         piece = mixed(value_range_hashes(name, start, start + n + window - 1) + (anchor - start).astype(np.uint64))
         owner = part[start]

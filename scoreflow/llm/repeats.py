@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scoreflow.llm.common import _INVERSE, _ODD, bitmap_of, bytes_of, in_bitmap, mixed, powers, stored
+from scoreflow.llm.common import _INVERSE, _ODD, bitmap_of, bytes_of, in_bitmap, join_with_hot, mixed, powers, stored
 
 #: Units of a long text that are worked on at once.
 SEGMENT = 1 << 20
@@ -34,11 +34,14 @@ def value_range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray)
     return mixed((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
 
 
-def runs_of(place: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts (as indexes) and lengths of the runs of consecutive places with one label."""
+def runs_of(place: np.ndarray, *labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts (as indexes) and lengths of the runs of consecutive places with equal labels."""
     if not len(place):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    new = np.flatnonzero((np.diff(place) != 1) | (np.diff(label) != 0)) + 1
+    new = np.diff(place) != 1
+    for label in labels:
+        new |= label[1:] != label[:-1]
+    new = np.flatnonzero(new) + 1
     first = np.concatenate([[0], new])
     return first, np.diff(np.concatenate([first, [len(place)]]))
 
@@ -200,12 +203,13 @@ def repeated_ranges(
     judged = stored(pieces.join(own, PIECE, "left"), "judged-pieces")
     whole = F.array(F.struct(F.lit(0).alias("low"), F.col("n").alias("high")))
     if earlier:
-        again = met.select(*PIECE, *ROW, "start").join(judged.select(*PIECE, "first", "n", "marks"), PIECE)
+        again = join_with_hot(met.select(*PIECE, *ROW, "start"), judged.select(*PIECE, "times", "first", "n", "marks"), PIECE, "times")
         same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("start") == F.col("first.start")) & (F.col("text_hash") == F.col("first.text_hash"))
         marked = again.withColumn("marks", F.when(same, F.col("marks")).otherwise(whole))
     else:
         settled = judged.withColumn("marks", F.when(F.col("times") > 1, whole).otherwise(F.col("marks")))
-        marked = met.select(*PIECE, *ROW, "start").join(settled.where("marks is not null").select(*PIECE, "marks"), PIECE)
+        settled = settled.where("marks is not null").select(*PIECE, "times", "marks")
+        marked = join_with_hot(met.select(*PIECE, *ROW, "start"), settled, PIECE, "times")
     spans = marked.where("marks is not null").select(*ROW, F.transform("marks", lambda m: F.struct(
         (F.col("start") + m["low"]).alias("low"), (F.col("start") + m["high"] + (window - 1)).alias("high"))).alias("spans"))
     return spans.groupBy(*ROW).agg(F.flatten(F.collect_list("spans")).alias("ranges"))  # of one document

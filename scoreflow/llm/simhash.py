@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scoreflow.llm.common import bytes_of, stored, table
+from scoreflow.llm.common import bytes_of, join_with_hot, stored, table
 from scoreflow.llm.components import connected
 
 SHINGLE_WORDS = 3
@@ -104,13 +104,13 @@ def linked_pairs(prints: DataFrame, hot_bucket: int = HOT_BUCKET) -> DataFrame:
 
 
 def fingerprint_components(docs: DataFrame, hot_bucket: int = HOT_BUCKET) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, fingerprint) per row of `docs`, and (fingerprint, component_id) per fingerprint.
+    """(doc_id, fingerprint) per row of `docs`, and (fingerprint, texts, component_id) per fingerprint.
 
     component_id is the smallest doc_id reachable over fingerprints within 3 bits. Rows whose doc_id
     is null get a fingerprint, link nothing and have a null component unless others share theirs.
     """
     printed = stored(docs.select("doc_id", fingerprints(F.col("text")).alias("fingerprint")), "fingerprints")
-    classes = printed.groupBy("fingerprint").agg(F.min("doc_id").alias("lowest"))
+    classes = printed.groupBy("fingerprint").agg(F.min("doc_id").alias("lowest"), F.count("*").alias("texts"))
     nodes = classes.where("lowest is not null")
     pairs = linked_pairs(nodes.select("fingerprint"), hot_bucket)
     low = lambda side: nodes.select(F.col("fingerprint").alias(side), F.col("lowest").alias(f"{side}_id"))
@@ -119,9 +119,9 @@ def fingerprint_components(docs: DataFrame, hot_bucket: int = HOT_BUCKET) -> tup
     )
     merged = connected(edges)
     components = classes.join(merged, classes.lowest == merged.node, "left").select(
-        "fingerprint", F.coalesce("component", "lowest").alias("component_id")
+        "fingerprint", "texts", F.coalesce("component", "lowest").alias("component_id")
     )
-    return printed, components
+    return printed, stored(components, "components")
 
 
 def simhash_duplicates(docs: DataFrame, hot_bucket: int = HOT_BUCKET) -> DataFrame:
@@ -131,7 +131,7 @@ def simhash_duplicates(docs: DataFrame, hot_bucket: int = HOT_BUCKET) -> DataFra
     are returned as often as they come; an empty table gives no rows; other columns are ignored.
     """
     printed, components = fingerprint_components(docs, hot_bucket)
-    return printed.join(components, "fingerprint").select(
+    return join_with_hot(printed, components, ["fingerprint"], "texts").select(
         "doc_id",
         F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
         "component_id",
@@ -144,10 +144,11 @@ def keep_one_per_component(docs: DataFrame, hot_bucket: int = HOT_BUCKET) -> Dat
     Rows that repeat such a doc_id stay once; rows with a null doc_id all stay, for nothing names them.
     """
     printed, components = fingerprint_components(docs, hot_bucket)
-    keepers = printed.join(components, "fingerprint").where("doc_id = component_id").select(
-        F.col("doc_id").alias("_keeper")).distinct()
-    named = docs.where("doc_id is not null").join(keepers, F.col("doc_id") == F.col("_keeper"), "left_semi")
-    return named.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    keepers = join_with_hot(printed, components, ["fingerprint"], "texts").where("doc_id = component_id")
+    keepers = keepers.select(F.col("doc_id").alias("_keeper")).distinct()
+    named = docs.where("doc_id is not null")
+    kept = named.join(keepers, named["doc_id"] == keepers["_keeper"], "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where("doc_id is null"))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
