@@ -29,15 +29,19 @@ from scoreflow.session import scratch_path
 
 END_ID = 2
 BLOCK_TOKENS = 1 << 19
-REMEMBERED = 300_000
+#: Chunks that a worker remembers; some 200 bytes each.
+REMEMBERED = 1_000_000
+#: New chunks that go through the library as one text.
+TOGETHER = 500
 
 
 class ByteEncoder:
     """Whole texts through the tokenizers library, each distinct chunk once.
 
     A single space or line feed between two signs always begins a token of the byte-level pattern, so
-    the chunks before and after it can be encoded on their own. Texts with other white space, with two
-    in a row or with a special token go through the library whole.
+    the chunks before and after it can be encoded on their own. New chunks go through the library
+    together, as one text that is cut again where tokens begin with white space. Texts with other
+    white space, with two in a row or with a special token go through the library whole.
     """
 
     def __init__(self, content: str):
@@ -47,36 +51,47 @@ class ByteEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join([r"[^\S \n]", r"\s\s", r"^\s", r"\s\Z", r"[\x1c-\x1f]", *map(re.escape, special)])).search
-        self.chunks: dict[str, bytes] = {}
+        # A chunk that cannot stand alone: nothing, a line feed alone, other white space, a special token.
+        self.odd = re.compile("|".join([r"\A\Z", r"\A\n\Z", r"[^\S\n]", r"[\x1c-\x1f]", *map(re.escape, special)])).search
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.begins[[i for token, i in vocabulary.items() if token[0] in "\u0120\u010a"]] = True
+        #: chunk without its space -> ids as little-endian 32-bit bytes, or None if it cannot stand alone.
+        self.chunks: dict[str, bytes | None] = {}
 
     def library(self, texts: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(c.ids, "<u4").tobytes() for c in coded]
 
+    def learn(self, names: list[str]) -> None:
+        self.chunks.update((n, None) for n in names if self.odd(n))
+        names = [n for n in names if n not in self.chunks]
+        for start in range(0, len(names), TOGETHER):
+            group = names[start : start + TOGETHER]
+            spaced = [n if n[0] == "\n" else f" {n}" for n in group]
+            ids = np.frombuffer(self.library(["".join(spaced)])[0], "<u4")
+            bounds = [*np.flatnonzero(self.begins[ids]).tolist(), len(ids)]
+            if len(bounds) == len(group) + 1:
+                data = ids.tobytes()
+                self.chunks.update((n, data[4 * a : 4 * b]) for n, a, b in zip(group, bounds, bounds[1:]))
+            else:  # another vocabulary than the pattern allows for
+                self.chunks.update(zip(group, self.library(spaced)))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit bytes."""
         if len(self.chunks) > REMEMBERED:
             self.chunks.clear()
-        out: list = []
+        # A chunk keeps the line feed before it; a space is left out of its name.
+        cut = [text.replace("\n", " \n").split(" ") for text in texts]
         unknown: set[str] = set()
-        for text in texts:
-            if not text or self.whole(text):
-                out.append(text)
-                continue
-            # A chunk keeps the white space before it; for a space that is left out of its name.
-            first, *rest = text.replace("\n", " \n").split(" ")
-            out.append((first, rest))
-            unknown.update(filterfalse(self.chunks.__contains__, rest))
-        names = list(unknown)
-        firsts = [x[0] if isinstance(x, tuple) else x for x in out]
-        coded = self.library([n if n[0] == "\n" else f" {n}" for n in names] + firsts)
-        self.chunks.update(zip(names, coded))
+        for chunks in cut:
+            unknown.update(filterfalse(self.chunks.__contains__, chunks[1:]))
+        self.learn(list(unknown))
         ids = self.chunks.__getitem__
-        return [
-            head + b"".join(map(ids, x[1])) if isinstance(x, tuple) else head
-            for x, head in zip(out, coded[len(names) :])
-        ]
+        rests = [list(map(ids, chunks[1:])) for chunks in cut]
+        whole = [None in rest or (chunks[0] != "" and bool(self.odd(chunks[0]))) for chunks, rest in zip(cut, rests)]
+        heads = self.library([t if w else chunks[0] for t, w, chunks in zip(texts, whole, cut)])
+        return [head if w else head + b"".join(rest) for head, w, rest in zip(heads, whole, rests)]
 
 
 def byte_encoder(shared) -> ByteEncoder:
