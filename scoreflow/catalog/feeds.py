@@ -105,6 +105,27 @@ FOREST4 = TreeEnsemble({
     ],
 })
 
+def _grown(tree: int, node: int, depth: int) -> dict:
+    """Node `node` (the root is 1, children 2n and 2n+1) of a full tree, by a rule that SQL can follow."""
+    if depth == 0:
+        return {"value": (tree * 31 + node * 97) % 2001 - 500}
+    return {
+        "feature": MRI11.columns[(tree * 7 + node * 3) % len(MRI11.columns)],
+        "threshold": (tree * 13 + node * 17) % 50,
+        "yes": _grown(tree, 2 * node, depth - 1),
+        "no": _grown(tree, 2 * node + 1, depth - 1),
+    }
+
+
+LARGE_TREES, LARGE_DEPTH = 200, 5
+
+
+def large_forest() -> TreeEnsemble:
+    """200 trees with 6,200 splits; leaves are whole numbers, so sums are exact."""
+    trees = [_grown(tree, 1, LARGE_DEPTH) for tree in range(LARGE_TREES)]
+    return TreeEnsemble({"features": MRI11.columns, "combine": "sum", "trees": trees})
+
+
 BOOST3 = TreeEnsemble({
     "features": ["Item", "ORDERDR", "DEPT", "SEX", "AGE", "POS", "IO"],
     "combine": "sum",

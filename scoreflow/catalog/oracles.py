@@ -64,6 +64,19 @@ _FOREST = """
          ELSE CASE WHEN "AGE" <= 25 THEN 63 ELSE 999 END END AS DOUBLE) / 4.0
 """
 
+# 200 full trees of five levels. Node n has the children 2n and 2n+1; feature, threshold and leaf follow
+# from the numbers of tree and node.
+_LARGE_STEP = """
+  SELECT "PNO", x, tree, 2 * node + CASE WHEN x[1 + (tree * 7 + node * 3) % 11] <= (tree * 13 + node * 17) % 50
+                                       THEN 0 ELSE 1 END AS node FROM """
+_LARGE_SCORED = f"""WITH {_PARSED}
+, level0 AS (
+  SELECT "PNO", ["AGE", "TURN", bhour, "ITEM_n", "ORDERDR_n", "MODEL_NAME_n", "IO_n", "DEPT_n", "SEX_n", "POS_n",
+         "MD_NO_n"] AS x, tree, 1 AS node FROM good, range(200) AS trees(tree))
+{"".join(f", level{i} AS ({_LARGE_STEP} level{i - 1})" for i in range(1, 6))}
+SELECT "PNO", CAST(sum((tree * 31 + node * 97) % 2001 - 500) AS DOUBLE) AS prediction FROM level5 GROUP BY "PNO"
+"""
+
 _FOREST_SCORED = _PARSED + f"""
 , scored AS (SELECT k, "PNO", {_FOREST} AS prediction FROM good)
 """
@@ -142,8 +155,15 @@ ORACLES: dict[str, str] = {
     "dense_index_hot_key": """
         WITH ids AS (SELECT o_orderstatus, row_number() OVER (ORDER BY o_orderstatus) - 1 AS row_id FROM orders)
         SELECT o_orderstatus, min(row_id) AS first_id, max(row_id) AS last_id, count(*) AS n_rows,
-               CAST(sum(row_id) AS BIGINT) AS id_sum
+               count(*) - count(DISTINCT row_id) AS repeated_ids
         FROM ids GROUP BY o_orderstatus""",
+    "dense_index_partition_order": """
+        SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS first_id, count(*) - 1 AS last_id,
+               CAST(0 AS BIGINT) AS repeated_ids, count(DISTINCT o_orderkey) AS n_keys FROM orders""",
+    "score_trees_large": _LARGE_SCORED,
+    "parse_rejects": f"""WITH {_LINES}
+        SELECT "PNO", line, CASE WHEN k % 101 = 0 THEN 'short' ELSE 'field MD_NO_n' END AS reason
+        FROM lines WHERE k % 101 = 0 OR k % 97 = 0""",
     "score_column": f'WITH {_FOREST_SCORED} SELECT "PNO", prediction FROM scored',
     "score_python_broadcast": f'WITH {_FOREST_SCORED} SELECT "PNO", prediction FROM scored',
     "score_batches": f'WITH {_FOREST_SCORED} SELECT "PNO", prediction FROM scored',

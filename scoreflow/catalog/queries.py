@@ -35,6 +35,7 @@ from scoreflow.functions import (
     zip_rows,
 )
 from scoreflow.layouts import KAFKA8, KEYED7, MRI11, FieldLayout
+from scoreflow.models import broadcast_model
 from scoreflow.operators import (
     cast_columns,
     distribute,
@@ -42,6 +43,7 @@ from scoreflow.operators import (
     map_batches,
     mape,
     parse_delimited,
+    parse_with_rejects,
     preview,
     register_view,
     score_mllib,
@@ -71,6 +73,7 @@ from scoreflow.sources import (
     stream_images,
     stream_lines,
     stream_parquet,
+    stream_table,
 )
 from scoreflow.streaming import start_fan_out, start_files
 
@@ -78,7 +81,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # A replay of any size runs in micro-batches of at most this much input.
-REPLAY_BYTES = 256 << 30
+REPLAY_BYTES = 8 << 30
 
 
 def query(fn: Query) -> Query:
@@ -135,6 +138,13 @@ def parse_mri11(spark, sf_dir):
     return _parsed(spark, sf_dir)
 
 
+@query
+def parse_rejects(spark, sf_dir):
+    """The lines that do not fit, each with its reason."""
+    rows = parse_with_rejects(_lines(spark, sf_dir), MRI11, keep=["PNO"])
+    return rows.filter("reason IS NOT NULL").select("PNO", "line", "reason")
+
+
 @query
 def parse_mri11_nulls(spark, sf_dir):
     return parse_delimited(_lines(spark, sf_dir), MRI11, "null", keep=["PNO"])
@@ -200,7 +210,23 @@ def people_sql_parquet(spark, sf_dir):
 @query
 def dense_index(spark, sf_dir):
     orders = _orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_totalprice")
-    return with_dense_index(distribute(orders), order_by="o_orderkey", spread_ties=False)
+    # The key is the table's own: unique, and cheap to read twice.
+    return with_dense_index(orders, order_by="o_orderkey", spread_ties=False)
+
+
+@query
+def dense_index_partition_order(spark, sf_dir):
+    """Numbers in the order of eleven partitions: which row gets which is open, that each comes once is not."""
+    orders = _orders(spark, sf_dir).select("o_orderkey")
+    indexed = with_dense_index(distribute(orders, 11))
+    uses = indexed.groupBy("row_id").agg(F.count(F.lit(1)).alias("uses"), F.max("o_orderkey").alias("key"))
+    return uses.agg(
+        F.sum("uses").alias("n_rows"),
+        F.min("row_id").alias("first_id"),
+        F.max("row_id").alias("last_id"),
+        F.count_if(F.col("uses") > 1).alias("repeated_ids"),
+        F.count_distinct("key").alias("n_keys"),
+    )
 
 
 @query
@@ -208,15 +234,16 @@ def dense_index_hot_key(spark, sf_dir):
     """Ordered by a column with three values: ties are numbered too, and split over tasks.
 
     Which of two equal rows comes first is open, so the answer is the range of
-    numbers per value and the check that no number is used twice.
+    numbers per value and how many numbers are used more than once.
     """
     orders = _orders(spark, sf_dir).select("o_orderstatus")
-    indexed = with_dense_index(distribute(orders), order_by="o_orderstatus")
-    return indexed.groupBy("o_orderstatus").agg(
+    indexed = with_dense_index(orders, order_by="o_orderstatus")
+    uses = indexed.groupBy("row_id").agg(F.count(F.lit(1)).alias("uses"), F.min("o_orderstatus").alias("o_orderstatus"))
+    return uses.groupBy("o_orderstatus").agg(
         F.min("row_id").alias("first_id"),
         F.max("row_id").alias("last_id"),
-        F.count(F.lit(1)).alias("n_rows"),
-        F.sum("row_id").alias("id_sum"),
+        F.sum("uses").alias("n_rows"),
+        F.count_if(F.col("uses") > 1).alias("repeated_ids"),
     )
 
 
@@ -237,15 +264,23 @@ def score_python_broadcast(spark, sf_dir):
     return scored.select("PNO", "prediction")
 
 
+@query
+def score_trees_large(spark, sf_dir):
+    """A forest of usual size, in Arrow batches."""
+    scored = score_trees(_parsed(spark, sf_dir), feeds.large_forest(), form="arrow")
+    return scored.select("PNO", "prediction")
+
+
 @query
 def score_batches(spark, sf_dir):
     """Whole batches through a function, key and prediction zipped again."""
-    model = FOREST4
+    shared = broadcast_model(spark, FOREST4)
 
     def run(batch):
+        model = shared.value
         return batch[["PNO"]].assign(prediction=model.predict(batch[model.features].to_numpy()))
 
-    columns = ["PNO", *model.features]
+    columns = ["PNO", *FOREST4.features]
     return map_batches(_parsed(spark, sf_dir), run, "PNO string, prediction double", columns)
 
 
@@ -295,8 +330,8 @@ def mape_(spark, sf_dir):
 # Sinks
 
 
-def _batch_minutes(spark, sf_dir) -> DataFrame:
-    scored = plans.score_lines(_lines(spark, sf_dir), FOREST4, keep=["PNO"])
+def _batch_minutes(spark, sf_dir, some: str = "true") -> DataFrame:
+    scored = plans.score_lines(_lines(spark, sf_dir).filter(some), FOREST4, keep=["PNO"])
     return with_minutes(with_seconds(scored)).select("PNO", "prediction", "seconds", "minutes")
 
 
@@ -324,11 +359,10 @@ def sink_parquet_roundtrip(spark, sf_dir):
 
 @query
 def sink_table_roundtrip(spark, sf_dir):
-    """Two appends to a table kept in the catalog."""
+    """Two appends to a table kept in the catalog, halves by a key of the input."""
     name, path = f"result_{uuid.uuid4().hex}", scratch_path(spark, "result-table")
-    rows = result_rows(_batch_minutes(spark, sf_dir)).select("PNO", "PRETIME")
-    write_table(rows.filter("PRETIME < 10"), name, path)
-    write_table(rows.filter("PRETIME >= 10"), name, path)
+    for half in ("k % 2 = 0", "k % 2 = 1"):
+        write_table(result_rows(_batch_minutes(spark, sf_dir, half)).select("PNO", "PRETIME"), name, path)
     return spark.table(name)
 
 
@@ -446,7 +480,7 @@ def stream_named_projection(spark, sf_dir):
 def stream_events_parquet(spark, sf_dir):
     """Events as (key, value) bytes, the way a topic delivers them, to text pairs."""
     schema = table(spark, sf_dir, "events").schema
-    events = stream_parquet(spark, sf_dir, schema, glob="events.parquet", max_bytes=REPLAY_BYTES)
+    events = stream_table(spark, f"{sf_dir}/events.parquet", schema, max_bytes=REPLAY_BYTES)
     value = F.concat_ws(",", F.col("event_id").cast("string"), "event_type", "props")
     records = events.select(
         F.col("user_id").cast("string").cast("binary").alias("key"), F.encode(value, "UTF-8").alias("value")

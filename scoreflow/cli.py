@@ -21,8 +21,10 @@ from scoreflow.session import build_session
 from scoreflow.sinks import (
     Sink,
     console_sink,
+    fitting,
     kafka_sink,
     key_minutes_sink,
+    rejects_sink,
     result_jdbc_sink,
     result_table_sink,
     text_sink,
@@ -40,6 +42,11 @@ from scoreflow.sources import (
 from scoreflow.streaming import start_console, start_fan_out
 
 
+# Bounds of a micro-batch unless others are given: what a failed one has to do again.
+MAX_BATCH_BYTES = 8 << 30
+MAX_BATCH_OFFSETS = 10_000_000
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = _parser().parse_args(argv)
     args.run(spark or build_session(f"scoreflow {args.job}"), args)
@@ -76,17 +83,26 @@ def line_stream(spark: SparkSession, args) -> None:
 
 def keyed_stream(spark: SparkSession, args) -> None:
     """Keyed records: minutes to a table or database, a topic, a file, the console."""
-    scored = plans.score_keyed_stream(_stream(spark, args), _model(spark, args), LAYOUTS[args.layout], args.policy)
-    sinks: list[Sink] = []
+    layout, sinks = LAYOUTS[args.layout], []
+    if args.rejects:
+        scored = plans.score_keyed_with_rejects(_stream(spark, args), _model(spark, args), layout)
+    else:
+        scored = plans.score_keyed_stream(_stream(spark, args), _model(spark, args), layout, args.policy)
     if args.result_table:
         sinks.append(result_table_sink(args.result_table, keyed=not args.append))
     if args.jdbc_url:
         with open(args.jdbc_properties) as file:
-            sinks.append(result_jdbc_sink(args.jdbc_url, args.jdbc_table, json.load(file)))
+            sinks.append(result_jdbc_sink(
+                args.jdbc_url, args.jdbc_table, json.load(file), tag_batches=args.tag_batches))
     if args.publish_topic:
         sinks.append(plans.publish_minutes(args.publish_servers or args.servers, args.publish_topic))
     if args.file:
         sinks.append(key_minutes_sink(args.file, keyed=not args.append))
+    if args.rejects:
+        if args.console or not sinks:
+            sinks.append(console_sink())
+        sinks = [*map(fitting, sinks), rejects_sink(args.rejects, ["PNO", "line"])]
+        args.console = False
     _run(scored, sinks, args)
 
 
@@ -104,10 +120,11 @@ def people_sql(spark: SparkSession, args) -> None:
 def payload_stream(spark: SparkSession, args) -> None:
     """Bytes of a topic as clean text, or images of a folder as pixels, on the console."""
     if args.images:
-        rows = plans.image_pixels(stream_images(spark, args.images))
+        rows = plans.image_pixels(stream_images(spark, args.images, **_file_limits(args)))
     else:
         rows = plans.payload_text(stream_kafka_binary(
-            spark, servers=args.servers, topic=args.topic, group=args.group, starting=args.starting))
+            spark, servers=args.servers, topic=args.topic, group=args.group, starting=args.starting,
+            max_offsets=args.max_offsets))
     start_console(rows, args.checkpoint, args.interval).awaitTermination()
 
 
@@ -124,14 +141,19 @@ def _stream(spark: SparkSession, args) -> DataFrame:
         return stream_socket(spark, host, int(port))
     if args.folder:
         # Lines of `key<tab>value`, or values alone.
-        lines = stream_lines(spark, args.folder)
+        lines = stream_lines(spark, args.folder, **_file_limits(args))
         parts = F.split("value", "\t", 2)
         return lines.select(
             F.when(F.size(parts) > 1, F.get(parts, F.lit(0))).alias("key"),
             F.element_at(parts, -1).alias("value"),
         )
     return stream_kafka(spark, servers=args.servers, topic=args.topic, group=args.group,
-                        min_partitions=args.min_partitions, starting=args.starting)
+                        min_partitions=args.min_partitions, starting=args.starting, max_offsets=args.max_offsets)
+
+
+def _file_limits(args) -> dict[str, int]:
+    # Spark takes one of the two.
+    return {"max_files": args.max_files} if args.max_files else {"max_bytes": args.max_bytes}
 
 
 def _run(scored: DataFrame, sinks: list[Sink], args) -> None:
@@ -165,6 +187,9 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--group", help="consumer group")
         sub.add_argument("--min-partitions", type=int)
         sub.add_argument("--starting", default="latest", help="earliest, latest or offsets as JSON")
+        sub.add_argument("--max-files", type=int, help="files of a folder in one micro-batch")
+        sub.add_argument("--max-bytes", type=int, default=MAX_BATCH_BYTES, help="input of a folder in one micro-batch")
+        sub.add_argument("--max-offsets", type=int, default=MAX_BATCH_OFFSETS, help="records of a topic in one micro-batch")
         sub.add_argument("--checkpoint", required=True, help="folder on shared storage")
         sub.add_argument("--interval", type=_interval, default=interval, help="a time, or `once` to stop when done")
 
@@ -196,6 +221,9 @@ def _parser() -> argparse.ArgumentParser:
     keyed.add_argument("--result-table", help="catalog table for (PNO, PRETIME, Time)")
     keyed.add_argument("--jdbc-url")
     keyed.add_argument("--jdbc-table", default="result")
+    keyed.add_argument("--tag-batches", action="store_true",
+                       help="write the batch of each row to the database, so that readers can drop repeats")
+    keyed.add_argument("--rejects", help="folder for records that cannot be read; they then stop nothing")
     keyed.add_argument("--jdbc-properties", help="JSON file with user, password and driver")
 
     people = job("people-sql", people_sql)

@@ -41,20 +41,28 @@ class TreeEnsemble:
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> TreeEnsemble:
         """Read a model file from any file system Spark reads."""
-        return cls.from_json(spark.read.text(path, wholetext=True).head()[0])
+        files = spark.read.text(path, wholetext=True).limit(2).collect()
+        if len(files) != 1:
+            raise ValueError(f"a model is one file, {path} has {'none' if not files else 'several'}")
+        return cls.from_json(files[0][0])
 
     @property
     def splits(self) -> int:
         return sum(int((table["feature"] >= 0).sum()) for table in self._tables)
 
+    def checked_columns(self, columns: Sequence[str] | None = None) -> list[str]:
+        """The columns that feed the model, one for each feature in its order."""
+        names = list(columns or self.features)
+        if len(names) != len(self.features):
+            raise ValueError(f"the model takes {len(self.features)} features, got {len(names)}")
+        return names
+
     def to_column(self, columns: Sequence[str] | None = None) -> Column:
         """The model as nested CASE expressions over `columns`, in feature order.
 
         A row without all features has no prediction.
         """
-        names = list(columns or self.features)
-        if len(names) != len(self.features):
-            raise ValueError(f"the model takes {len(self.features)} features, got {len(names)}")
+        names = self.checked_columns(columns)
         inputs = {f: name(c) for f, c in zip(self.features, names)}
 
         def grow(node: dict) -> str:
@@ -73,6 +81,8 @@ class TreeEnsemble:
     def predict(self, x: np.ndarray) -> np.ndarray:
         """Predictions for the rows of a 2-D array, one tree level at a time."""
         x = np.asarray(x, dtype=np.float64)
+        if x.ndim != 2 or x.shape[1] != len(self.features):
+            raise ValueError(f"the model takes {len(self.features)} features, got an array of shape {x.shape}")
         n = len(x)
         cells = np.ascontiguousarray(x.T).ravel()  # one feature after the other
         rows = np.arange(n)

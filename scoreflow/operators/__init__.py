@@ -5,6 +5,7 @@ from scoreflow.operators.lines import (
     drop_blank,
     keep_int_field,
     parse_delimited,
+    parse_with_rejects,
     project_pair,
     split_fields,
 )
@@ -22,7 +23,7 @@ from scoreflow.operators.sql import register_view, run_sql
 
 __all__ = [
     "cast_columns", "distribute", "drop_blank", "keep_int_field", "map_batches", "mape",
-    "parse_delimited", "preview", "project_pair", "python_scorer", "register_view", "run_sql",
+    "parse_delimited", "parse_with_rejects", "preview", "project_pair", "python_scorer", "register_view", "run_sql",
     "schema_report", "score_mllib", "score_python", "score_trees", "split_fields",
     "visit_partitions", "with_dense_index", "with_minutes", "with_seconds",
 ]

@@ -77,16 +77,8 @@ def parse_delimited(
     _one_of("policy", policy, POLICIES)
     _one_of("short_rows", short_rows, SHORT_ROWS)
     kept = [name(c) for c in keep]
-    parts = df.selectExpr(
-        *kept,
-        f"{name(value)} AS _line",
-        f"{_split(value, layout.separator)} AS _parts",
-        f"{lettered_sql(name(value))} AS _lettered",
-    )
-    fields = [
-        f"{_READERS[type_](f'get(_parts, {i})')} AS {name(column)}"
-        for i, (column, type_) in enumerate(layout.fields)
-    ]
+    parts = _parts(df, layout, kept, value)
+    fields = _fields(layout)
     if policy == "null" and checked is None:
         return parts.selectExpr(*kept, *fields)
 
@@ -113,6 +105,43 @@ def parse_delimited(
     return records.selectExpr(*kept, f"inline({rows})")
 
 
+def parse_with_rejects(
+    df: DataFrame, layout: FieldLayout, keep: Sequence[str] = (), value: str = "value"
+) -> DataFrame:
+    """Every line, parsed or rejected: the columns in `keep`, `line`, `reason`, then the layout's columns.
+
+    `reason` is NULL for a line that fits. Else it is "short" for a line with too few
+    fields, or "field NAME" for the first one that cannot be read; the columns of such
+    a line are NULL where they cannot be read. Rows in and out are equal in number, so
+    nothing vanishes and no line stops a stream.
+    """
+    kept = [name(c) for c in keep]
+    records = _parts(df, layout, kept, value).selectExpr(
+        *kept, "_line AS line", "size(_parts) AS _size", f"struct({', '.join(_fields(layout))}) AS _record"
+    )
+    unread = " ".join(f"WHEN _record.{name(c)} IS NULL THEN {literal(f'field {c}')}" for c in layout.columns)
+    reason = f"CASE WHEN _size < {len(layout.columns)} OR line IS NULL THEN 'short' {unread} END"
+    columns = ", ".join(f"_record.{name(c)} AS {name(c)}" for c in layout.columns)
+    # One element per row; a filter on the reason cannot be pushed below this, see parse_delimited.
+    return records.selectExpr(*kept, "line", f"inline(array(struct({reason} AS reason, {columns})))")
+
+
+def _parts(df: DataFrame, layout: FieldLayout, kept: Sequence[str], value: str) -> DataFrame:
+    return df.selectExpr(
+        *kept,
+        f"{name(value)} AS _line",
+        f"{_split(value, layout.separator)} AS _parts",
+        f"{lettered_sql(name(value))} AS _lettered",
+    )
+
+
+def _fields(layout: FieldLayout) -> list[str]:
+    return [
+        f"{_READERS[type_](f'get(_parts, {i})')} AS {name(column)}"
+        for i, (column, type_) in enumerate(layout.fields)
+    ]
+
+
 def project_pair(df: DataFrame, layout: FieldLayout, value: str = "value") -> DataFrame:
     """The first fields of a line as text columns, nothing checked."""
     return parse_delimited(df, layout, policy="null", value=value)

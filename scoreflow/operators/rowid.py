@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from scoreflow.functions.sqltext import name as name_of
 from scoreflow.operators.keys import SortKeys, sort_keys
 from scoreflow.session import scratch_path
 
-# Offsets hold one row (16 bytes) per written file; above this they are joined by shuffle.
-BROADCAST_OFFSETS = 1_000_000
-
 _POSITION_BITS = 33
 
 
@@ -37,9 +35,14 @@ def with_dense_index(
 
     With `order_by`, rows are range-partitioned by those columns and, among
     equal ones, by their place in the input. No two rows share that key, so a
-    value that a third of all rows hold is still split over many tasks. Where
-    values hardly repeat, `spread_ties=False` saves writing the input places;
-    the index is as good, only a frequent value would stay in one task.
+    value that a third of all rows hold is still split over many tasks. Range
+    partitioning looks at its input twice, so the input is evaluated into that
+    first write and only once.
+
+    `spread_ties=False` saves that write: ties are then ordered by a hash of the
+    whole row, and the input is evaluated twice. A frequent value is split all the
+    same, unless its rows are equal in every column. It is meant for keys that are
+    unique in an input that is cheap to read, such as a table's own key.
     """
     if df.isStreaming:
         raise ValueError("a dense index needs a bounded table; use it inside foreachBatch")
@@ -47,7 +50,7 @@ def with_dense_index(
     if not keys:
         placed = _write_places(df, "index")
     else:
-        source, ties = df, []
+        source, ties = df, [F.xxhash64(*map(name_of, df.columns))]
         if spread_ties:
             source, ties = _write_places(df, "index-input"), ["_place"]
         ranged = source.repartitionByRange(*keys, *ties).sortWithinPartitions(*keys, *ties)
@@ -60,8 +63,8 @@ def with_dense_index(
     offsets = counts.select(
         "_partition", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
     )
-    if len(placed.inputFiles()) <= BROADCAST_OFFSETS:
-        offsets = F.broadcast(offsets)
+    # 16 bytes for each task of the job that wrote the rows: less than the driver held to run it.
+    offsets = F.broadcast(offsets)
     position = F.col("_place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     return (
         placed.withColumn("_partition", partition)

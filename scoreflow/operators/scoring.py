@@ -18,17 +18,29 @@ from scoreflow.functions.numbers import truncate, whole_minutes
 from scoreflow.models.shared import broadcast_model
 from scoreflow.models.trees import TreeEnsemble
 
-# Larger ensembles outgrow a generated method the JIT compiles; arrays are then faster.
-COLUMN_SPLITS = 64
+FORMS = ("column", "arrow")
 
 
 def score_trees(
-    df: DataFrame, model: TreeEnsemble, columns: Sequence[str] | None = None, name: str = "prediction"
+    df: DataFrame,
+    model: TreeEnsemble,
+    columns: Sequence[str] | None = None,
+    name: str = "prediction",
+    form: str = "column",
 ) -> DataFrame:
-    """Score a tree ensemble, as a Column while it is small and in Arrow batches beyond."""
-    if model.splits <= COLUMN_SPLITS:
-        return df.withColumn(name, model.to_column(columns))
-    return score_python(df, model, columns or model.features, name)
+    """Score a tree ensemble as one Column ("column") or in Arrow batches ("arrow").
+
+    Both give the same predictions and refuse the same calls. A Column stays in the
+    JVM, but some hundred splits outgrow a generated method that the JIT compiles;
+    arrays are faster then. The caller chooses, so that a plan does not change with
+    the model.
+    """
+    if form not in FORMS:
+        raise ValueError(f"form must be one of {FORMS}, got {form!r}")
+    names = model.checked_columns(columns)
+    if form == "column":
+        return df.withColumn(name, model.to_column(names))
+    return score_python(df, model, names, name)
 
 
 def score_python(

@@ -5,11 +5,12 @@ from scoreflow.plans.stream_score import (
     named_pairs,
     publish_minutes,
     score_keyed_stream,
+    score_keyed_with_rejects,
     score_stream,
 )
 
 __all__ = [
     "decode_images", "export_people", "image_pixels", "named_pairs", "payload_bytes",
     "payload_text", "people", "publish_minutes", "query_people", "score", "score_indexed_lines",
-    "score_keyed_stream", "score_lines", "score_stream",
+    "score_keyed_stream", "score_keyed_with_rejects", "score_lines", "score_stream",
 ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from scoreflow.fixed_values import PEOPLE_QUERY, PEOPLE_VIEW
@@ -23,5 +24,10 @@ def export_people(table: DataFrame, csv_path: str, parquet_path: str) -> None:
     """Append the table as CSV and as Parquet, each in a folder of its own."""
     if csv_path.rstrip("/") == parquet_path.rstrip("/"):
         raise ValueError("CSV and Parquet need different folders")
-    write_csv(table, csv_path)
-    write_parquet(table, parquet_path)
+    # Read and parsed once for both.
+    table.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        write_csv(table, csv_path)
+        write_parquet(table, parquet_path)
+    finally:
+        table.unpersist()

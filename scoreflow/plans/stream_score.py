@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from scoreflow.functions import minutes_message
 from scoreflow.layouts import KEYED7, MRI11, PAIR, FieldLayout
-from scoreflow.operators import parse_delimited, project_pair, with_minutes, with_seconds
+from scoreflow.operators import parse_delimited, parse_with_rejects, project_pair, with_minutes, with_seconds
 from scoreflow.plans.batch_score import score
 from scoreflow.sinks import Sink, kafka_sink
 
@@ -43,6 +43,16 @@ def score_keyed_stream(
     return result.select(F.col("key").alias("PNO"), *keep, "prediction", "seconds", "minutes")
 
 
+def score_keyed_with_rejects(
+    records: DataFrame, model, layout: FieldLayout = KEYED7, keep: Sequence[str] = ()
+) -> DataFrame:
+    """`score_keyed_stream` for every record, with `line` and `reason`: rejected ones are there too,
+    for a sink of their own, so that no record stops the stream or goes without trace."""
+    rows = parse_with_rejects(records, layout.truncated(), keep=["key", *keep])
+    scored = with_minutes(with_seconds(score(rows, model, layout.columns)))
+    return scored.select(F.col("key").alias("PNO"), *keep, "prediction", "seconds", "minutes", "line", "reason")
+
+
 def named_pairs(records: DataFrame, layout: FieldLayout = PAIR) -> DataFrame:
     """The first two fields of each record as (`PNO`, `usetime`)."""
     return records.select("value").transform(project_pair, layout)

@@ -39,7 +39,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     global _local_scratch
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        # Not local-cluster, whose executors are processes of their own.
+        if master != "local" and not master.startswith("local["):
             raise ValueError(
                 "set spark.checkpoint.dir to a folder that every executor can reach"
             )

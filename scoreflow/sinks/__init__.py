@@ -3,8 +3,10 @@ from scoreflow.sinks.batch_sinks import (
     console_sink,
     csv_sink,
     kafka_sink,
+    fitting,
     key_minutes_sink,
     parquet_sink,
+    rejects_sink,
     partition_sink,
     result_jdbc_sink,
     result_rows,
@@ -13,7 +15,9 @@ from scoreflow.sinks.batch_sinks import (
 )
 from scoreflow.sinks.writers import (
     Batch,
+    first_delivery,
     jdbc_options,
+    jdbc_rows,
     kafka_records,
     write_csv,
     write_jdbc,
@@ -24,8 +28,8 @@ from scoreflow.sinks.writers import (
 )
 
 __all__ = [
-    "Batch", "Sink", "console_sink", "csv_sink", "jdbc_options", "kafka_records", "kafka_sink",
-    "key_minutes_sink", "parquet_sink", "partition_sink", "result_jdbc_sink", "result_rows",
+    "Batch", "Sink", "console_sink", "csv_sink", "first_delivery", "jdbc_options", "jdbc_rows", "kafka_records", "kafka_sink",
+    "key_minutes_sink", "fitting", "parquet_sink", "partition_sink", "rejects_sink", "result_jdbc_sink", "result_rows",
     "result_table_sink", "text_sink", "write_csv", "write_jdbc", "write_kafka", "write_parquet",
     "write_table", "write_text",
 ]

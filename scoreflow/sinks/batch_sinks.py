@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -49,6 +49,21 @@ def parquet_sink(path: str, keyed: bool = True) -> Sink:
     return lambda df, batch: writers.write_parquet(df, path, batch=batch if keyed else None)
 
 
+def fitting(sink: Sink, reason: str = "reason") -> Sink:
+    """`sink` for the rows without a reason to reject them; see parse_with_rejects."""
+    return lambda df, batch: sink(df.filter(F.col(reason).isNull()).drop(reason), batch)
+
+
+def rejects_sink(path: str, columns: Sequence[str] = ("line",), reason: str = "reason") -> Sink:
+    """Rejected rows with their reasons, as Parquet; a batch that runs again replaces its own."""
+
+    def write(df: DataFrame, batch: Batch) -> None:
+        rejected = df.filter(F.col(reason).isNotNull()).select(*columns, reason)
+        writers.write_parquet(rejected, path, batch=batch)
+
+    return write
+
+
 def result_table_sink(table: str, path: str | None = None, keyed: bool = True) -> Sink:
     def write(df: DataFrame, batch: Batch) -> None:
         writers.write_table(result_rows(df), table, path, batch if keyed else None)

@@ -73,6 +73,25 @@ def jdbc_options(properties: dict[str, str], connections: int = 8, batch_rows: i
     return {"numPartitions": str(connections), "batchsize": str(batch_rows), **properties}
 
 
+def jdbc_rows(df: DataFrame, connections: int = 8, batch: Batch | None = None) -> DataFrame:
+    """The rows a database gets, dealt out to its connections.
+
+    Spark's own limit on connections narrows the whole stage before them; here the
+    small result rows move, and reading and scoring keep all their tasks.
+    """
+    return (df if batch is None else _tagged(df, batch)).repartition(connections)
+
+
+def first_delivery(rows: DataFrame) -> DataFrame:
+    """Rows of a table written with `batch`, without those that a repeated batch wrote again.
+
+    The rows of a batch are the same each time, so equal rows of one batch that come
+    an equal number of times per delivery are counted once. Give rows a key that is
+    unique within a batch, or equal rows of one batch become one.
+    """
+    return rows.dropDuplicates()
+
+
 def write_jdbc(
     df: DataFrame,
     url: str,
@@ -86,7 +105,7 @@ def write_jdbc(
     JDBC cannot replace a part of a table. With `batch`, its columns are
     written too, so that readers can tell a repeated batch.
     """
-    rows = df if batch is None else _tagged(df, batch)
+    rows = jdbc_rows(df, connections, batch)
     rows.write.jdbc(url, table, mode="append", properties=jdbc_options(properties, connections))
 
 

@@ -7,6 +7,7 @@ from scoreflow.sources.files import (
     stream_images,
     stream_lines,
     stream_parquet,
+    stream_table,
 )
 from scoreflow.sources.topics import (
     kafka_options,
@@ -20,5 +21,5 @@ from scoreflow.sources.topics import (
 __all__ = [
     "IMAGE_SCHEMA", "kafka_options", "keyed_bytes", "keyed_text", "read_binary", "read_csv",
     "read_images", "read_lines", "stream_images", "stream_kafka", "stream_kafka_binary",
-    "stream_lines", "stream_parquet", "stream_socket",
+    "stream_lines", "stream_parquet", "stream_table", "stream_socket",
 ]

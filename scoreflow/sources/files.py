@@ -43,12 +43,23 @@ def stream_lines(spark: SparkSession, path: str, **limits) -> DataFrame:
 def stream_parquet(
     spark: SparkSession, path: str, schema: str | StructType, glob: str | None = None, **limits
 ) -> DataFrame:
+    """A folder of Parquet files as a stream; `glob` selects by file name."""
     reader = _stream(spark, "parquet", schema, **limits)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.load(path)
 
 
+def stream_table(spark: SparkSession, path: str, schema: str | StructType, **limits) -> DataFrame:
+    """A Parquet table as a stream, be it one file or a folder of part files.
+
+    A table that is not there is an error, not an empty stream.
+    """
+    spark.read.schema(schema).parquet(path)  # raises where nothing is
+    # Streams take folders; a pattern may also match a file.
+    return _stream(spark, "parquet", schema, **limits).load(f"{path[:-1]}[{path[-1]}]")
+
+
 def read_binary(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """Whole files as (`key`, `value`): path and bytes, like a keyed byte topic."""
     reader = spark.read.format("binaryFile")

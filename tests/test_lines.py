@@ -7,6 +7,7 @@ from scoreflow.operators import (
     drop_blank,
     keep_int_field,
     parse_delimited,
+    parse_with_rejects,
     project_pair,
     split_fields,
 )
@@ -136,3 +137,12 @@ def test_each_line_is_split_once(lines):
 def test_parse_returns_what_was_rendered(lines, rows):
     df = lines(*[",".join(map(str, row)) for row in rows])
     assert sorted(values(parse_delimited(df, MRI11))) == sorted(map(tuple, rows))
+
+
+def test_rejects_and_parsed_lines_are_all_lines(lines):
+    layout = FieldLayout.of("pair", ["a", "b"], "bigint")
+    values = ["1,2", "1", "x,2", "1,y", "", None, "3,4,5", "1,"]
+    rows = parse_with_rejects(lines(*values), layout).collect()
+    assert [(r.line, r.reason, r.a, r.b) for r in rows] == [
+        ("1,2", None, 1, 2), ("1", "short", 1, None), ("x,2", "field a", None, 2), ("1,y", "field b", 1, None),
+        ("", "short", None, None), (None, "short", None, None), ("3,4,5", None, 3, 4), ("1,", "field b", 1, None)]

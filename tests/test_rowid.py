@@ -3,7 +3,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from scoreflow.operators import distribute, with_dense_index
+from scoreflow.operators import distribute, rowid, with_dense_index
 
 
 def test_equals_zip_with_index(spark):
@@ -63,3 +63,33 @@ def test_streams_are_refused(spark, tmp_path):
     stream = spark.readStream.text(str(tmp_path))
     with pytest.raises(ValueError, match="bounded"):
         with_dense_index(stream)
+
+
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange ")
+
+
+def test_an_ordered_index_moves_rows_once(spark, monkeypatch):
+    plans = []
+    write = rowid._write_places
+
+    def seen(df, label):
+        plans.append(exchanges(df))
+        return write(df, label)
+
+    monkeypatch.setattr(rowid, "_write_places", seen)
+    with_dense_index(spark.range(100), order_by="id", spread_ties=False).collect()
+    assert plans == [1]
+    plans.clear()
+    with_dense_index(spark.range(100), order_by="id").collect()
+    assert plans == [0, 1]
+    plans.clear()
+    with_dense_index(spark.range(100)).collect()
+    assert plans == [0]
+
+
+def test_a_frequent_value_is_split_without_places_too(spark):
+    df = spark.range(3000).select(F.lit(1).alias("v"), "id").repartition(6)
+    indexed = with_dense_index(df, order_by="v", spread_ties=False)
+    assert sorted(r.row_id for r in indexed.collect()) == list(range(3000))

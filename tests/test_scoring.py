@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import linear_model
 from linear_model import LinearModel
-from scoreflow.catalog.feeds import BOOST3, FOREST4
+from scoreflow.catalog.feeds import BOOST3, FOREST4, large_forest
 from scoreflow.layouts import MRI11
 from scoreflow.models import TreeEnsemble, broadcast_model
 from scoreflow.operators import (
@@ -29,7 +29,6 @@ from scoreflow.operators import (
     with_minutes,
     with_seconds,
 )
-from scoreflow.operators import scoring
 
 cloudpickle.register_pickle_by_value(linear_model)
 
@@ -75,15 +74,35 @@ def test_trees_agree_with_a_walk_by_hand(rows, combine, split, base):
             assert row["python"] == pytest.approx(expected, abs=1e-9)
 
 
-def test_size_decides_how_trees_are_scored(rows, monkeypatch):
+def test_the_caller_chooses_the_form(rows):
     def plan(df):
         return df._jdf.queryExecution().executedPlan().toString()
 
-    assert "ArrowEvalPython" not in plan(score_trees(rows, FOREST4))
-    small = score_trees(rows, FOREST4).collect()
-    monkeypatch.setattr(scoring, "COLUMN_SPLITS", 3)
-    assert "ArrowEvalPython" in plan(score_trees(rows, FOREST4))
-    assert sorted(score_trees(rows, FOREST4).collect()) == sorted(small)
+    for model in (FOREST4, large_forest()):
+        assert "ArrowEvalPython" not in plan(score_trees(rows.limit(1), FOREST4, form="column"))
+        assert "ArrowEvalPython" in plan(score_trees(rows, model, form="arrow"))
+    assert sorted(score_trees(rows, FOREST4, form="arrow").collect()) == sorted(score_trees(rows, FOREST4).collect())
+    with pytest.raises(ValueError, match="form must be"):
+        score_trees(rows, FOREST4, form="fast")
+
+
+@pytest.mark.parametrize("form", ["column", "arrow"])
+def test_both_forms_treat_inputs_alike(spark, form):
+    tree = {"feature": "a", "threshold": 1, "yes": {"value": 1}, "no": {
+        "feature": "b", "threshold": 0.5, "yes": {"value": 2}, "no": {"value": 4}}}
+    model = TreeEnsemble({"features": ["a", "b"], "combine": "sum", "trees": [tree] * 80})
+    nan, inf = float("nan"), float("inf")
+    rows = [(1.0, 9.0), (2.0, 0.5), (2.0, 1.0), (None, 1.0), (2.0, None), (inf, -inf), (-inf, inf), (nan, nan)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, a double, b double").coalesce(1)
+    got = {r.i: r.prediction for r in score_trees(df, model, form=form).collect()}
+    assert got == {0: 80.0, 1: 160.0, 2: 320.0, 3: None, 4: None, 5: 160.0, 6: 80.0, 7: 320.0}
+    swapped = {r.i: r.prediction for r in score_trees(df, model, ["b", "a"], form=form).collect()}
+    assert swapped[0] == 320.0 and swapped[1] == 80.0
+    for wrong in (["a"], ["a", "b", "i"]):
+        with pytest.raises(ValueError, match="takes 2 features"):
+            score_trees(df, model, wrong, form=form)
+    with pytest.raises(ValueError, match="takes 2 features"):
+        model.predict(np.zeros((3, 3)))
 
 
 def test_no_prediction_without_all_features(spark):

@@ -1,11 +1,14 @@
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from scoreflow import plans
 from scoreflow.session import scratch_path
 from scoreflow.sinks import (
+    first_delivery,
+    jdbc_rows,
     jdbc_options,
     kafka_records,
     kafka_sink,
@@ -198,7 +201,7 @@ def test_payload_images(spark):
     got = plans.decode_images(records, decode).collect()
     assert [(r.key, r.width, r.height, r.nChannels, bytes(r.data)) for r in got] == [("a", 2, 2, 3, bytes(range(12)))]
     plan = plans.decode_images(records, decode)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("ArrowEvalPython") == 1
+    assert plan.count("MapInArrow") == 1
 
 
 def test_limits_of_a_file_stream(spark, tmp_path):
@@ -248,3 +251,21 @@ def test_scratch_without_a_named_folder():
     assert os.path.isdir(os.path.dirname(os.path.dirname(scratch_path(session("local[2]"), "x"))))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_path(session("yarn"), "x")
+
+
+def test_jdbc_rows_are_dealt_out_before_the_writer(spark):
+    rows = jdbc_rows(spark.range(100).repartition(20), 3, ("s", 7))
+    assert rows.rdd.getNumPartitions() == 3 and rows.columns == ["id", "stream_id", "batch_id"]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition 3, true" in plan and "Repartition 20, true" not in plan.split("Range")[0].split("Repartition 3")[0]
+    repeated = rows.union(rows).union(jdbc_rows(spark.range(5), 3, ("s", 8)))
+    assert first_delivery(repeated).count() == 105
+
+
+def test_sixteen_bit_pixels_stay_whole(spark):
+    pixels = {b"a": np.array([[300, 65535]], np.uint16), b"b": np.zeros((2, 1, 3), np.uint8), b"c": None}
+    records = spark.createDataFrame([("x", b"a"), ("y", b"b"), ("z", b"c"), ("n", None)], "key string, value binary")
+    got = {r.key: r for r in plans.decode_images(records, lambda data: pixels[bytes(data)]).collect()}
+    assert set(got) == {"x", "y"}
+    assert got["x"].dtype == "uint16" and np.frombuffer(got["x"].data, "<u2").tolist() == [300, 65535]
+    assert (got["y"].width, got["y"].height, got["y"].nChannels, got["y"].dtype) == (1, 2, 3, "uint8")

@@ -9,13 +9,15 @@ from scoreflow.operators import keep_int_field, run_sql
 from scoreflow.sinks import (
     console_sink,
     csv_sink,
+    fitting,
     key_minutes_sink,
     parquet_sink,
     partition_sink,
+    rejects_sink,
     result_table_sink,
     text_sink,
 )
-from scoreflow.sources import read_lines, stream_lines, stream_parquet
+from scoreflow.sources import read_lines, stream_lines, stream_parquet, stream_table
 from scoreflow.streaming import start_console, start_fan_out, start_files, start_table, start_visitor
 
 
@@ -154,3 +156,38 @@ def test_sql_over_a_stream(spark, orders, keyed, tmp_path):
     assert pairs.isStreaming
     start_files(pairs, "parquet", str(tmp_path / "out"), str(tmp_path / "c"), interval=None).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == orders.count()
+
+
+def test_a_bad_record_goes_to_the_rejects_and_the_stream_goes_on(spark, orders, tmp_path):
+    source, good, bad, checkpoint = (str(tmp_path / p) for p in ("in", "good", "bad", "checkpoint"))
+    records = feeds.keyed7_records(orders)
+    records.limit(20).write.mode("append").parquet(source)
+
+    def run():
+        stream = stream_parquet(spark, source, records.schema, max_files=1)
+        scored = plans.score_keyed_with_rejects(stream, BOOST3)
+        sinks = [fitting(key_minutes_sink(good)), rejects_sink(bad, ["PNO", "line"])]
+        start_fan_out(scored, sinks, checkpoint, interval=None).awaitTermination()
+
+    run()
+    spark.createDataFrame([("P-1", "1,2"), ("P-2", "1,2,3,4,5,6,seven")], records.schema).write.mode("append").parquet(source)
+    run()
+    records.limit(5).write.mode("append").parquet(source)
+    run()
+    assert spark.read.text(good).count() == 25
+    rejected = {(r.PNO, r.line, r.reason) for r in spark.read.parquet(bad).collect()}
+    assert {r[:2] for r in rejected} == {("P-1", "1,2"), ("P-2", "1,2,3,4,5,6,seven")}
+    assert {r[2] for r in rejected} == {"short", f"field {BOOST3.features[-1]}"}
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_a_table_streams_as_file_and_as_folder(spark, tmp_path, parts):
+    folder, checkpoint, out = (str(tmp_path / p) for p in ("t.parquet", "checkpoint", "out"))
+    spark.range(90).repartition(parts).write.parquet(folder)
+    path = folder
+    if parts == 1:
+        path = next(str(p) for p in (tmp_path / "t.parquet").glob("part-*.parquet"))
+    start_files(stream_table(spark, path, "id bigint"), "parquet", out, checkpoint, interval=None).awaitTermination()
+    assert spark.read.parquet(out).count() == 90
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        stream_table(spark, str(tmp_path / "absent"), "id bigint")
