@@ -126,6 +126,24 @@ def large_forest() -> TreeEnsemble:
     return TreeEnsemble({"features": MRI11.columns, "combine": "sum", "trees": trees})
 
 
+def _dumped(node: int, split: str, condition: float, missing: str, yes, no) -> dict:
+    """A split as boosting trainers dump it; its children have the next two numbers of their level."""
+    children = [
+        {**child, "nodeid": 2 * node + i} if isinstance(child, dict) else {"nodeid": 2 * node + i, "leaf": child}
+        for i, child in ((1, yes), (2, no))
+    ]
+    return {"nodeid": node, "split": split, "split_condition": condition, "yes": 2 * node + 1, "no": 2 * node + 2,
+            "missing": 2 * node + (1 if missing == "yes" else 2), "children": children}
+
+
+# Leaves are no binary fractions, and sums lie near whole minutes, so precision and order matter.
+BOOST_DUMP = [
+    _dumped(0, "AGE", 49.5, "no", _dumped(1, "MD_NO_n", 20.1, "yes", 59.6, 119.7), _dumped(2, "IO_n", 1.5, "no", 0.1, 179.9)),
+    _dumped(0, "ITEM_n", 24.3, "yes", _dumped(1, "DEPT_n", 14.7, "yes", 0.1, 60.05), _dumped(2, "SEX_n", 0.5, "yes", 0.2, -0.4)),
+    _dumped(0, "MD_NO_n", 30.2, "no", _dumped(1, "POS_n", 5.5, "no", 0.2, 0.3), _dumped(2, "bhour", 11.9, "no", 0.05, 119.95)),
+]
+BOOST_IMPORTED = TreeEnsemble.from_boosted_dump(BOOST_DUMP, MRI11.columns, base=0.1)
+
 BOOST3 = TreeEnsemble({
     "features": ["Item", "ORDERDR", "DEPT", "SEX", "AGE", "POS", "IO"],
     "combine": "sum",

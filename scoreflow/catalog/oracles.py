@@ -161,6 +161,24 @@ ORACLES: dict[str, str] = {
         SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS first_id, count(*) - 1 AS last_id,
                CAST(0 AS BIGINT) AS repeated_ids, count(DISTINCT o_orderkey) AS n_keys FROM orders""",
     "score_trees_large": _LARGE_SCORED,
+    "score_boosted_import": f"""WITH {_PARSED}
+, halves AS (
+  SELECT "PNO",
+    CASE WHEN CAST("AGE" AS REAL) < CAST(49.5 AS REAL)
+         THEN CASE WHEN "MD_NO_n" IS NULL OR CAST("MD_NO_n" AS REAL) < CAST(20.1 AS REAL) THEN 59.6 ELSE 119.7 END
+         ELSE CASE WHEN CAST("IO_n" AS REAL) < CAST(1.5 AS REAL) THEN 0.1 ELSE 179.9 END END AS one,
+    CASE WHEN "ITEM_n" IS NULL OR CAST("ITEM_n" AS REAL) < CAST(24.3 AS REAL)
+         THEN CASE WHEN "DEPT_n" IS NULL OR CAST("DEPT_n" AS REAL) < CAST(14.7 AS REAL) THEN 0.1 ELSE 60.05 END
+         ELSE CASE WHEN "SEX_n" IS NULL OR CAST("SEX_n" AS REAL) < CAST(0.5 AS REAL) THEN 0.2 ELSE -0.4 END END AS two,
+    CASE WHEN CAST("MD_NO_n" AS REAL) < CAST(30.2 AS REAL)
+         THEN CASE WHEN CAST("POS_n" AS REAL) < CAST(5.5 AS REAL) THEN 0.2 ELSE 0.3 END
+         ELSE CASE WHEN CAST(bhour AS REAL) < CAST(11.9 AS REAL) THEN 0.05 ELSE 119.95 END END AS three
+  FROM parsed)
+, summed AS (
+  SELECT "PNO", CAST(CAST(0.1 AS REAL) + CAST(one AS REAL) + CAST(two AS REAL) + CAST(three AS REAL) AS DOUBLE)
+           AS prediction FROM halves)
+SELECT "PNO", prediction, CAST(trunc(prediction) AS BIGINT) AS seconds,
+       CAST(floor(trunc(prediction) / 60) AS BIGINT) AS minutes FROM summed""",
     "parse_rejects": f"""WITH {_LINES}
         SELECT "PNO", line, CASE WHEN k % 101 = 0 THEN 'short' ELSE 'field MD_NO_n' END AS reason
         FROM lines WHERE k % 101 = 0 OR k % 97 = 0""",

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from scoreflow import plans
 from scoreflow.catalog import feeds
-from scoreflow.catalog.feeds import BOOST3, BOOST8, FOREST4, table
+from scoreflow.catalog.feeds import BOOST3, BOOST8, BOOST_IMPORTED, FOREST4, table
 from scoreflow.catalog.images import (
     decode_gray_map,
     page_of,
@@ -271,6 +271,14 @@ def score_trees_large(spark, sf_dir):
     return scored.select("PNO", "prediction")
 
 
+@query
+def score_boosted_import(spark, sf_dir):
+    """A trainer's dump over records with missing fields, in single precision."""
+    rows = parse_delimited(_lines(spark, sf_dir), MRI11, "null", keep=["PNO"])
+    scored = with_minutes(with_seconds(score_trees(rows, BOOST_IMPORTED)))
+    return scored.select("PNO", "prediction", "seconds", "minutes")
+
+
 @query
 def score_batches(spark, sf_dir):
     """Whole batches through a function, key and prediction zipped again."""

@@ -3,11 +3,16 @@
 A model is a JSON object:
 
     {"features": ["AGE", ...], "combine": "mean" | "sum", "base": 0.0,
-     "split": "le" | "lt", "trees": [node, ...]}
+     "split": "le" | "lt", "precision": "double" | "single", "trees": [node, ...]}
 
 with nodes `{"feature": name, "threshold": t, "yes": node, "no": node}` or
 `{"value": v}`. Averaged forests use "mean" and "le"; boosted trees use "sum",
 a base score, and "le" or "lt" as their trainer does.
+
+A split may say where missing values go, `"missing": "yes" | "no"`; a model with
+such splits scores rows whatever is missing, others need all features. NaN counts
+as missing there. With "single", values, thresholds and leaves are single-precision
+and are summed so, tree by tree from the base on, as boosting trainers do.
 """
 
 from __future__ import annotations
@@ -27,12 +32,40 @@ class TreeEnsemble:
         self.combine = spec.get("combine", "mean")
         self.base = float(spec.get("base", 0.0))
         self.split = spec.get("split", "le")
+        self.precision = spec.get("precision", "double")
         self.trees = spec["trees"]
         if self.combine not in ("mean", "sum") or self.split not in ("le", "lt"):
             raise ValueError("combine must be mean or sum, split must be le or lt")
+        if self.precision not in ("double", "single"):
+            raise ValueError("precision must be double or single")
         if not self.trees:
             raise ValueError("an ensemble needs at least one tree")
         self._tables = [_tables(t, self.features) for t in self.trees]
+        self.accepts_missing = any(table["has_missing"] for table in self._tables)
+
+    @classmethod
+    def from_boosted_dump(cls, trees: str | list, features: Sequence[str], base: float = 0.5) -> TreeEnsemble:
+        """A boosted model from its trainer's JSON dump: a list of trees whose splits have
+        `split`, `split_condition`, `yes`, `no`, `missing` and `children`, whose leaves have `leaf`.
+
+        Values below the condition go to `yes`; arithmetic is single-precision.
+        """
+
+        def node(dumped: dict) -> dict:
+            if "leaf" in dumped:
+                return {"value": dumped["leaf"]}
+            children = {child["nodeid"]: child for child in dumped["children"]}
+            return {
+                "feature": dumped["split"],
+                "threshold": dumped["split_condition"],
+                "yes": node(children[dumped["yes"]]),
+                "no": node(children[dumped["no"]]),
+                "missing": "yes" if dumped.get("missing", dumped["no"]) == dumped["yes"] else "no",
+            }
+
+        dumped = json.loads(trees) if isinstance(trees, str) else trees
+        return cls({"features": list(features), "combine": "sum", "base": base, "split": "lt",
+                    "precision": "single", "trees": [node(tree) for tree in dumped]})
 
     @classmethod
     def from_json(cls, text: str) -> TreeEnsemble:
@@ -65,18 +98,35 @@ class TreeEnsemble:
         names = self.checked_columns(columns)
         inputs = {f: name(c) for f, c in zip(self.features, names)}
 
+        single = self.precision == "single"
+
+        def number(value: float) -> str:
+            return f"CAST({float(np.float32(value))!r}D AS FLOAT)" if single else f"{float(value)!r}D"
+
         def grow(node: dict) -> str:
             if "value" in node:
-                return f"{float(node['value'])!r}D"
-            test = f"{inputs[node['feature']]} {operator} {float(node['threshold'])!r}D"
+                return number(node["value"])
+            value = f"CAST({inputs[node['feature']]} AS {'FLOAT' if single else 'DOUBLE'})"
+            test = f"{value} {operator} {number(node['threshold'])}"
+            if self.accepts_missing:
+                absent = f"({value} IS NULL OR isnan({value}))"
+                test = f"({absent} OR {test})" if node.get("missing") == "yes" else f"(NOT {absent} AND {test})"
             return f"CASE WHEN {test} THEN {grow(node['yes'])} ELSE {grow(node['no'])} END"
 
         operator = "<=" if self.split == "le" else "<"
-        total = "(" + " + ".join(grow(tree) for tree in self.trees) + ")"
+        trees = [grow(tree) for tree in self.trees]
+        if single:
+            summed = " + ".join([number(self.base), *trees] if self.combine == "sum" else trees)
+            mean = f" / {number(len(trees))} + {number(self.base)}" if self.combine == "mean" else ""
+            total = f"CAST(({summed}){mean} AS DOUBLE)"
+            known = " AND ".join(f"{column} IS NOT NULL" for column in inputs.values())
+            return F.expr(total if self.accepts_missing else f"CASE WHEN {known} THEN {total} END")
+        total = "(" + " + ".join(trees) + ")"
         if self.combine == "mean":
             total = f"{total} / {len(self.trees)}D"
         known = " AND ".join(f"{column} IS NOT NULL" for column in inputs.values())
-        return F.expr(f"CASE WHEN {known} THEN {total} + {self.base!r}D END")
+        total = f"{total} + {self.base!r}D"
+        return F.expr(total if self.accepts_missing else f"CASE WHEN {known} THEN {total} END")
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         """Predictions for the rows of a 2-D array, one tree level at a time."""
@@ -84,29 +134,39 @@ class TreeEnsemble:
         if x.ndim != 2 or x.shape[1] != len(self.features):
             raise ValueError(f"the model takes {len(self.features)} features, got an array of shape {x.shape}")
         n = len(x)
-        cells = np.ascontiguousarray(x.T).ravel()  # one feature after the other
+        single = self.precision == "single"
+        kind = np.float32 if single else np.float64
+        cells = np.ascontiguousarray(x.T).ravel().astype(kind)  # one feature after the other
         rows = np.arange(n)
-        total = np.zeros(n)
+        total = np.full(n, self.base if single and self.combine == "sum" else 0, kind)
         compare = np.less_equal if self.split == "le" else np.less
         for table in self._tables:
             node = np.zeros(n, dtype=np.int64)
             for _ in range(table["depth"]):
                 value = cells.take(table["column"].take(node) * n + rows)
-                yes = compare(value, table["threshold"].take(node))
+                yes = compare(value, table["threshold"].astype(kind).take(node))
+                if self.accepts_missing:
+                    yes = np.where(np.isnan(value), table["missing"].take(node), yes)
                 node = table["next"].take(2 * node + yes)
-            total += table["value"].take(node)
+            total += table["value"].astype(kind).take(node)
         if self.combine == "mean":
-            total /= len(self._tables)
-        return total + self.base
+            total = total / kind(len(self._tables))
+        if not (single and self.combine == "sum"):
+            total = total + kind(self.base)
+        return total.astype(np.float64)
 
 
 def _tables(tree: dict, features: list[str]) -> dict:
     """A tree as arrays indexed by node. `next` holds the "no" and "yes" successors of
     each node in turn; a leaf is its own successor."""
-    feature, threshold, yes, no, value = [], [], [], [], []
+    feature, threshold, yes, no, value, missing = [], [], [], [], [], []
+    has_missing = False
 
     def add(node: dict) -> tuple[int, int]:
+        nonlocal has_missing
         i = len(feature)
+        missing.append(node.get("missing") == "yes")
+        has_missing = has_missing or "missing" in node
         leaf = "value" in node
         feature.append(-1 if leaf else features.index(node["feature"]))
         threshold.append(0.0 if leaf else float(node["threshold"]))
@@ -128,4 +188,6 @@ def _tables(tree: dict, features: list[str]) -> dict:
         "next": np.column_stack([no, yes]).ravel(),
         "value": np.array(value),
         "depth": depth,
+        "missing": np.array(missing),
+        "has_missing": has_missing,
     }

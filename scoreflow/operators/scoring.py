@@ -61,6 +61,8 @@ def python_scorer(shared: Broadcast) -> Callable[..., Column]:
         model = shared.value
         for features in batches:
             known = np.ones(len(features[0]), dtype=bool)
+            if getattr(model, "accepts_missing", False):
+                features = [f.cast("double").fill_null(float("nan")) for f in features]
             for feature in features:
                 if feature.null_count:
                     known &= feature.is_valid().to_numpy(zero_copy_only=False)

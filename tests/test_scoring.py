@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import linear_model
 from linear_model import LinearModel
-from scoreflow.catalog.feeds import BOOST3, FOREST4, large_forest
+from scoreflow.catalog.feeds import BOOST3, BOOST_DUMP, BOOST_IMPORTED, FOREST4, large_forest
 from scoreflow.layouts import MRI11
 from scoreflow.models import TreeEnsemble, broadcast_model
 from scoreflow.operators import (
@@ -222,3 +222,29 @@ def test_scorer_in_sql(spark):
     df = spark.createDataFrame([(1, 2), (3, None)], "a bigint, b bigint")
     got = run_sql("select linear_score(a, b) as p from pairs_to_score order by a", {"pairs_to_score": df})
     assert [r.p for r in got.collect()] == [21.0, None]
+
+
+def test_a_dumped_model_in_both_forms(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(200):
+        values = [rng.choice([None, float("nan"), float(rng.randint(0, 60))]) for _ in MRI11.columns]
+        rows.append((i, *values))
+    df = spark.createDataFrame(rows, "i int, " + ", ".join(f"{c} double" for c in MRI11.columns)).coalesce(1)
+
+    def walk_dump(node, row):
+        while "leaf" not in node:
+            value = row[node["split"]]
+            if value is None or value != value:
+                target = node["missing"]
+            else:
+                target = node["yes"] if np.float32(value) < np.float32(node["split_condition"]) else node["no"]
+            node = next(c for c in node["children"] if c["nodeid"] == target)
+        return np.float32(node["leaf"])
+
+    for form in ("column", "arrow"):
+        for row in score_trees(df, BOOST_IMPORTED, form=form).collect():
+            total = np.float32(0.1)
+            for tree in BOOST_DUMP:
+                total = np.float32(total + walk_dump(tree, row.asDict()))
+            assert row.prediction == float(total)
