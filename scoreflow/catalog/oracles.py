@@ -188,10 +188,8 @@ SELECT "PNO", prediction, CAST(trunc(prediction) AS BIGINT) AS seconds,
     "score_indexed":
         f"WITH {_FOREST_SCORED} SELECT row_number() OVER (ORDER BY k) - 1 AS row_id, prediction FROM scored",
     "score_keyed_minutes": f'WITH {_KEYED_SCORED} SELECT "PNO", prediction, seconds, minutes FROM timed',
-    "score_mllib_forest":
-        f'WITH {_PARSED} SELECT "PNO", CAST("IO_n" * 300 + "SEX_n" * 60 AS DOUBLE) AS prediction FROM good',
-    "score_mllib_boosted":
-        f'WITH {_PARSED} SELECT "PNO", CAST("IO_n" * 300 + "SEX_n" * 60 AS DOUBLE) AS prediction FROM good',
+    "score_mllib_forest": f'WITH {_PARSED} SELECT "PNO", CAST(1 AS INTEGER) AS agrees FROM good',
+    "score_mllib_boosted": f'WITH {_PARSED} SELECT "PNO", CAST(1 AS INTEGER) AS agrees FROM good',
     "mape": f"""WITH {_FEED}
         SELECT round(avg(abs((60 + k % 3600 - {_FOREST}) / nullif(60 + k % 3600, 0))) * 100, 6) AS mape FROM feed""",
     "sink_text_roundtrip": f"WITH {_FOREST_SCORED} SELECT prediction FROM scored",

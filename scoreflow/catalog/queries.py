@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -35,7 +35,7 @@ from scoreflow.functions import (
     zip_rows,
 )
 from scoreflow.layouts import KAFKA8, KEYED7, MRI11, FieldLayout
-from scoreflow.models import broadcast_model
+from scoreflow.models import TreeEnsemble, broadcast_model
 from scoreflow.operators import (
     cast_columns,
     distribute,
@@ -83,6 +83,9 @@ QUERIES: dict[str, Query] = {}
 # A replay of any size runs in micro-batches of at most this much input.
 REPLAY_BYTES = 8 << 30
 
+# Rows that the MLlib models are fitted to, at most; all rows are scored.
+FIT_ROWS = 20_000
+
 
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__.removesuffix("_")] = fn
@@ -305,27 +308,33 @@ def score_keyed_minutes(spark, sf_dir):
 
 
 def _fitted(spark, sf_dir, regressor) -> DataFrame:
-    """Fit on the feed, save, load by path and score.
+    """Fit to some rows, save, load by path and score all rows; the same trees are also scored on their own.
 
-    The label depends on two features only and the trees may split until they
-    are pure, so the prediction must equal the label.
+    `agrees` is 1 where both answers are equal, so a wrong tree, weight or average shows in most rows.
     """
-    rows = _parsed(spark, sf_dir).withColumn("label", F.col("IO_n") * 300 + F.col("SEX_n") * 60)
+    rows = _parsed(spark, sf_dir)
+    label = F.col("IO_n") * 300 + F.col("SEX_n") * 60 + F.col("AGE") * F.col("POS_n") + F.col("ITEM_n")
     assembler = VectorAssembler(inputCols=MRI11.columns, outputCol="features")
     path = scratch_path(spark, "mllib-model")
-    Pipeline(stages=[assembler, regressor]).fit(rows).save(path)
-    return score_mllib(rows.drop("label"), path).select("PNO", "prediction")
+    Pipeline(stages=[assembler, regressor]).fit(rows.withColumn("label", label).limit(FIT_ROWS)).save(path)
+    fitted = PipelineModel.load(path).stages[-1]
+    own = TreeEnsemble.from_mllib(fitted, MRI11.columns)
+    if len({str(tree) for tree in own.trees}) < len(own.trees):
+        raise ValueError("some trees are the same, which would hide mistakes")
+    both = score_trees(score_mllib(rows, path), own, name="own")
+    same = F.abs(F.col("prediction") - F.col("own")) <= 1e-9 * F.abs(F.col("own"))
+    return both.select("PNO", F.when(same, 1).otherwise(0).alias("agrees"))
 
 
 @query
 def score_mllib_forest(spark, sf_dir):
     return _fitted(spark, sf_dir, RandomForestRegressor(
-        numTrees=4, maxDepth=5, bootstrap=False, featureSubsetStrategy="all", seed=7))
+        numTrees=4, maxDepth=5, subsamplingRate=0.7, featureSubsetStrategy="onethird", seed=7))
 
 
 @query
 def score_mllib_boosted(spark, sf_dir):
-    return _fitted(spark, sf_dir, GBTRegressor(maxIter=2, maxDepth=5, stepSize=1.0, seed=7))
+    return _fitted(spark, sf_dir, GBTRegressor(maxIter=3, maxDepth=4, stepSize=0.3, seed=7))
 
 
 @query

@@ -79,6 +79,24 @@ class TreeEnsemble:
             raise ValueError(f"a model is one file, {path} has {'none' if not files else 'several'}")
         return cls.from_json(files[0][0])
 
+    @classmethod
+    def from_mllib(cls, model, features: Sequence[str]) -> TreeEnsemble:
+        """A fitted MLlib forest or boosted regressor with splits on ordered features."""
+
+        def node(fitted) -> dict:
+            if fitted.getClass().getSimpleName() == "LeafNode":
+                return {"value": weight * fitted.prediction()}
+            split = fitted.split()
+            return {"feature": features[split.featureIndex()], "threshold": split.threshold(),
+                    "yes": node(fitted.leftChild()), "no": node(fitted.rightChild())}
+
+        boosted = "GBT" in type(model).__name__
+        trees = []
+        for tree, weight in zip(model.trees, model.treeWeights):
+            weight = weight if boosted else weight * len(model.trees) / sum(model.treeWeights)
+            trees.append(node(tree._call_java("rootNode")))
+        return cls({"features": list(features), "combine": "sum" if boosted else "mean", "trees": trees})
+
     @property
     def splits(self) -> int:
         return sum(int((table["feature"] >= 0).sum()) for table in self._tables)
