@@ -146,14 +146,34 @@ class Words:
         return inside, mixed(total[inside])
 
 
+BLOCK_WORDS = 1 << 13
+
+
 def bitmap_of(df: DataFrame, column: str, bits: int):
-    """A broadcast bitmap of a column of hashes: 2**bits bits whatever the rows, gathered as 64-bit words."""
-    rows = df.select(F.shiftrightunsigned(column, 64 - bits).alias("place")).groupBy(
+    """A broadcast bitmap of a column of hashes: 2**bits bits whatever the rows.
+
+    Spark makes its 64-bit words and joins them to blocks of 64 KB, which the driver puts side by side.
+    """
+    words = df.select(F.shiftrightunsigned(column, 64 - bits).alias("place")).groupBy(
         F.shiftright("place", 6).cast("int").alias("at")
-    ).agg(F.expr("bit_or(shiftleft(1L, cast(place & 63 as int)))").alias("flags")).collect()
-    flags = np.zeros(1 << (bits - 6), np.int64)
-    for row in rows:
-        flags[row["at"]] = row["flags"]
+    ).agg(F.expr("bit_or(shiftleft(1L, cast(place & 63 as int)))").alias("flags"))
+    dealt = words.select(F.shiftright("at", 13).alias("block"), "at", "flags").repartition("block")
+
+    def run(batches):
+        blocks: dict[int, np.ndarray] = {}
+        for batch in batches:
+            block, at, flags = (batch.column(i).to_numpy() for i in range(3))
+            for b in np.unique(block).tolist():
+                own = block == b
+                held = blocks.setdefault(b, np.zeros(BLOCK_WORDS, np.int64))
+                held[at[own] - b * BLOCK_WORDS] = flags[own]
+        yield pa.RecordBatch.from_pydict(
+            {"block": list(blocks), "flags": [x.tobytes() for x in blocks.values()]},
+            pa.schema([("block", pa.int32()), ("flags", pa.binary())]))
+
+    flags = np.zeros(max(1 << (bits - 6), BLOCK_WORDS), np.int64)
+    for row in dealt.mapInArrow(run, "block int, flags binary").collect():  # 64 KB each, 2**(bits - 19) of them
+        flags[row["block"] * BLOCK_WORDS : (row["block"] + 1) * BLOCK_WORDS] = np.frombuffer(row["flags"], np.int64)
     return df.sparkSession.sparkContext.broadcast(flags.view(np.uint64))
 
 
