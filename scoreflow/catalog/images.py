@@ -56,15 +56,31 @@ def page_pixels(pixels: DataFrame, page: Column) -> DataFrame:
 
 
 def page_payloads(pages: DataFrame) -> DataFrame:
-    """(`key`, `value`) with each page as a raw gray map: a header line, then the bytes."""
-    header = F.format_string("P5 %s 1 255\n", F.octet_length("html"))
-    value = F.concat(F.encode(header, "UTF-8"), F.encode("html", "UTF-8"))
+    """(`key`, `value`) with each page as a raw pixel map: a header line, then a pixel for each byte.
+
+    By turns the pixels are gray of 8 bits, gray of 16 bits (the byte twice, as in scaling up) and
+    color (the byte three times).
+    """
+    kind = F.col("page_id") % 3
+    size = F.octet_length("html")
+    header = (
+        F.when(kind == 0, F.format_string("P5 %s 1 255\n", size))
+        .when(kind == 1, F.format_string("P5 %s 1 65535\n", size))
+        .otherwise(F.format_string("P6 %s 1 255\n", size))
+    )
+    digits = F.hex(F.encode("html", "UTF-8"))
+    times = F.when(kind == 0, digits).when(kind == 1, F.regexp_replace(digits, "(..)", "$1$1")).otherwise(
+        F.regexp_replace(digits, "(..)", "$1$1$1")
+    )
+    value = F.concat(F.encode(header, "UTF-8"), F.unhex(times))
     return pages.select(F.col("page_id").cast("string").alias("key"), value.alias("value"))
 
 
-def decode_gray_map(payload: bytes) -> np.ndarray | None:
+def decode_map(payload: bytes) -> np.ndarray | None:
+    """A raw gray or color map; 16-bit pixels have the high byte first."""
     header, _, pixels = payload.partition(b"\n")
-    kind, width, height, _ = header.split(b" ")
-    if kind != b"P5":
+    kind, width, height, largest = header.split(b" ")
+    if kind not in (b"P5", b"P6"):
         return None
-    return np.frombuffer(pixels, np.uint8).reshape(int(height), int(width))
+    values = np.frombuffer(pixels, ">u2" if int(largest) > 255 else np.uint8)
+    return values.reshape(int(height), int(width), *((3,) if kind == b"P6" else ()))

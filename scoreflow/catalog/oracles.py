@@ -227,5 +227,10 @@ SELECT "PNO", prediction, CAST(trunc(prediction) AS BIGINT) AS seconds,
     "utf8_encode": "SELECT page_id, CAST(strlen(html) AS BIGINT) AS size, md5(html) AS bytes_md5 FROM pages",
     "image_read": _PAGE_IMAGE,
     "image_stream": _PAGE_IMAGE,
-    "image_payload_stream": _PAGE_IMAGE,
+    "image_payload_stream": """
+        SELECT page_id, CAST(strlen(html) AS BIGINT) AS width, CAST(1 AS BIGINT) AS height,
+               CAST(CASE WHEN page_id % 3 = 2 THEN 3 ELSE 1 END AS BIGINT) AS channels,
+               md5(unhex(CASE page_id % 3 WHEN 0 THEN hex(html)
+                         WHEN 1 THEN regexp_replace(hex(html), '(..)', '\\1\\1', 'g')
+                         ELSE regexp_replace(hex(html), '(..)', '\\1\\1\\1', 'g') END)) AS pixels_md5 FROM pages""",
 }

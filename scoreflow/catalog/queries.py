@@ -18,7 +18,7 @@ from scoreflow import plans
 from scoreflow.catalog import feeds
 from scoreflow.catalog.feeds import BOOST3, BOOST8, BOOST_IMPORTED, FOREST4, table
 from scoreflow.catalog.images import (
-    decode_gray_map,
+    decode_map,
     page_of,
     page_payloads,
     page_pixels,
@@ -184,8 +184,8 @@ def vector_assemble(spark, sf_dir):
 @query
 def zip_arrays(spark, sf_dir):
     rows = feeds.features(_orders(spark, sf_dir))
-    positions = F.sequence(F.lit(0), F.lit(len(MRI11.columns) - 1))
-    values = int_vector(MRI11.columns)
+    positions = F.sequence(F.lit(0).cast("bigint"), F.lit(len(MRI11.columns) - 1).cast("bigint"))
+    values = int_vector(MRI11.columns).cast("array<double>")
     return rows.select("PNO", zip_rows(positions, values, "position", "field_value"))
 
 
@@ -550,12 +550,13 @@ def image_stream(spark, sf_dir):
 
 @query
 def image_payload_stream(spark, sf_dir):
-    """Images that arrive as bytes of a keyed record, decoded on the stream."""
+    """Images that arrive as bytes of a keyed record, decoded on the stream: gray ones of 8 and of 16
+    bits, and ones with three channels."""
     source = scratch_path(spark, "payloads")
     records = page_payloads(table(spark, sf_dir, "pages"))
     write_parquet(records, source)
     stream = keyed_bytes(stream_parquet(spark, source, records.schema, max_bytes=REPLAY_BYTES))
-    pixels = page_pixels(plans.decode_images(stream, decode_gray_map), F.col("key"))
+    pixels = page_pixels(plans.decode_images(stream, decode_map), F.col("key"))
     target, checkpoint = scratch_path(spark, "pixels"), scratch_path(spark, "stream-checkpoint")
     start_files(pixels, "parquet", target, checkpoint, interval=None).awaitTermination()
     return spark.read.schema(pixels.schema).parquet(target)

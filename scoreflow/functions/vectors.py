@@ -19,7 +19,7 @@ def truncate_vector(vector: Column) -> Column:
 
 
 def zip_rows(left: Column, right: Column, left_name: str, right_name: str) -> Column:
-    """Generator: one row per pair of elements, as long as the shorter array."""
+    """Generator: one row per pair of elements, as long as the shorter array, in the arrays' own types."""
     n = F.least(F.size(left), F.size(right))
-    pairs = F.arrays_zip(F.slice(left, F.lit(1), n), F.slice(right, F.lit(1), n))
-    return F.inline(pairs.cast(f"array<struct<{name(left_name)}:bigint,{name(right_name)}:double>>"))
+    pair = lambda a, b: F.struct(a.alias(left_name), b.alias(right_name))
+    return F.inline(F.zip_with(F.slice(left, F.lit(1), n), F.slice(right, F.lit(1), n), pair))
