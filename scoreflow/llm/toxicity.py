@@ -34,6 +34,7 @@ GRAMS = (3, 4, 5)
 MIN_TEXTS = 5
 STEPS = 250
 DECAY = 1e-4
+BLOCK_TEXTS = 500
 #: Averages are taken per hundred n-grams.
 SCALE = 100
 REMEMBERED = 300_000
@@ -85,7 +86,7 @@ class Model:
 
 
 def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, steps: int = STEPS, seed: int = 7) -> Model:
-    """Fits embeddings and softmax to bags of (bucket, count), all of them in each step.
+    """Fits embeddings and softmax to bags of (bucket, count), all of them in each step; empties `bags`.
 
     Steps have momentum and one length for the whole of each table: with a length for each bucket,
     buckets of single texts would learn those texts by heart.
@@ -96,10 +97,14 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, steps:
     for buckets, _ in bags:
         seen[buckets] += 1
     common = seen >= MIN_TEXTS
-    kept = [common[b] for b, _ in bags]
-    row = np.repeat(np.arange(len(bags), dtype=np.int32), [k.sum() for k in kept])
-    bucket = np.concatenate([b[k] for (b, _), k in zip(bags, kept)]).astype(np.int32)
-    share = np.concatenate([c[k] * np.float32(SCALE) / t for (_, c), k, t in zip(bags, kept, totals)]).astype(np.float32)
+    blocks = []  # row, bucket and share of the entries of some texts each, so that a step's own arrays stay small
+    for start in range(0, len(bags), BLOCK_TEXTS):
+        some = [(b[common[b]], c[common[b]]) for b, c in bags[start : start + BLOCK_TEXTS]]
+        row = np.repeat(np.arange(len(some), dtype=np.int32), [len(b) for b, _ in some])
+        share = [c * np.float32(SCALE) / t for (_, c), t in zip(some, totals[start:])]
+        blocks.append((row, np.concatenate([b for b, _ in some]).astype(np.int32), np.concatenate(share).astype(np.float32)))
+    bags.clear()
+    sizes = [min(BLOCK_TEXTS, len(labels) - start) for start in range(0, len(labels), BLOCK_TEXTS)]
     table_ = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS))
     softmax = rng.normal(0, 0.5, (2, DIMENSIONS))
     rate = np.clip(labels.mean(), 1e-3, 1 - 1e-3)
@@ -108,9 +113,13 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, steps:
     lengths = [0.0, 0.0]
     for step in range(1, steps + 1):
         direction = softmax[1] - softmax[0]
-        logit = np.bincount(row, share * (table_ @ direction).astype(np.float32)[bucket], len(bags)) + bias
+        along = (table_ @ direction).astype(np.float32)
+        logit = np.concatenate([np.bincount(r, s * along[b], n) for (r, b, s), n in zip(blocks, sizes)]) + bias
         error = 1 / (1 + np.exp(-np.clip(logit, -30, 30))) - labels
-        pulled = np.bincount(bucket, share * error.astype(np.float32)[row], BUCKETS) / len(labels)
+        pulled, start = np.zeros(BUCKETS), 0
+        for (r, b, s), n in zip(blocks, sizes):
+            pulled += np.bincount(b, s * error[start : start + n].astype(np.float32)[r], BUCKETS) / len(labels)
+            start += n
         toward = pulled @ table_
         gradients = np.outer(pulled, direction) + DECAY * table_, np.stack([-toward, toward]) + DECAY * softmax
         for i, (values, gradient, rate) in enumerate(zip((table_, softmax), gradients, (1.0, 0.3))):
@@ -160,8 +169,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     rows = labelled_bags(docs, labels, sample_rows)
     if not rows:
         return Model(np.zeros(BUCKETS), -30.0)
+    labels_ = np.array([r[0] for r in rows], float)
     bags = [(np.frombuffer(b, "<i4"), np.frombuffer(c, "<i4")) for _, b, c in rows]
-    return train(bags, np.array([r[0] for r in rows], float))
+    rows.clear()
+    return train(bags, labels_)
 
 
 class Scorer:
