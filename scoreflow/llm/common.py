@@ -14,6 +14,9 @@ from scoreflow.session import scratch_path
 #: Rows that one Arrow batch hands to Python; texts may be long, so batches stay small.
 BATCH_ROWS = 256
 
+#: Spark's setting to remove the shuffle files of a job when it ends, not when the driver collects garbage.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: The words of most contracts are what bytes.split() yields: runs without space, tab, LF, VT, FF, CR.
 SPACES = b" \t\n\x0b\x0c\r"
 
@@ -45,10 +48,15 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.Reco
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The frame written to the shared scratch folder and read again: a lineage cut that
-    survives lost executors."""
+    survives lost executors. The shuffles behind it go once it is written."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.mode("overwrite").parquet(path)
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

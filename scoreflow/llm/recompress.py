@@ -7,9 +7,9 @@ task of every round gives equal things equal names without asking; Spark then co
 
 A symbol depends on the words it stands for and on few around, and each symbol keeps exactly which.
 If they all lie in a window, every other occurrence of the window has the same symbol at the same
-place. So each window of 20 words is filed under one such symbol, of the highest round there is and of
-the smallest name. Names that two places share reveal windows that may be equal; the windows' own
-words verify it. A window without such a symbol, as in one word repeated, is filed under itself.
+place. So each window of 20 words is filed under one such symbol, by the name of all the words that
+decide about it. Names that two places share reveal windows that may be equal; the windows' own words
+verify it. A window without such a symbol, as in one word repeated, is filed under itself.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from scoreflow.llm.repeats import Pieces, applied, identified, repeated_ranges,
 
 WINDOW = 20
 ROUNDS = 3
+#: Words that decide about a symbol, at least and at most, for it to be preferred.
+FEW, MANY = 7, 11
 #: Words worked on at once.
 GROUP_WORDS = 1 << 18
 FAR = 1 << 40
@@ -88,7 +90,7 @@ def join_pairs(s: Symbols, round_: int) -> Symbols:
 
 def anchors(name: np.ndarray, text: np.ndarray, window: int = WINDOW, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
     """For the window that starts at each word: the first word of the symbol it is filed under, or -1, and
-    the symbol's name. `text` tells which words belong together."""
+    the name. `text` tells which words belong together."""
     n = len(name)
     place = np.arange(n)
     s = Symbols(name, text, place, place + 1, place, place + 1)
@@ -99,8 +101,12 @@ def anchors(name: np.ndarray, text: np.ndarray, window: int = WINDOW, rounds: in
         inside = np.flatnonzero((s.low >= 0) & (s.high - s.low <= window) & (s.high <= n))
         if not len(inside):
             break
-        # Higher rounds come first, then smaller names, then the leftmost.
-        rank = (np.uint64(rounds - round_) << np.uint64(60)) | (mixed(s.name[inside]) >> np.uint64(4))
+        # Symbols that stand on a middling number of words come first: fewer are common, more lie in few
+        # windows. Then the smallest name of all those words, then the leftmost.
+        words = (s.high - s.low)[inside]
+        preferred = np.select([(words >= FEW) & (words <= MANY), words > MANY], [0, 1], 2).astype(np.uint64)
+        content = value_range_hashes(name, s.low[inside], s.high[inside])
+        rank = (preferred << np.uint64(62)) | (content >> np.uint64(2))
         first, low, high = s.first[inside], np.maximum(s.high[inside] - window, 0), s.low[inside]
         order = np.lexsort((-first, ~rank))  # the best is written last
         rank, first, low, high = rank[order], first[order], low[order], high[order]
