@@ -331,7 +331,8 @@ def decode_column(ids: Column, shared: SharedVocabulary) -> Column:
 
     def run(batch: pa.Array) -> pa.Array:
         decode = encoder_of(shared).decode
-        return pa.array([decode(np.array(x or [], "<u4").tobytes()) for x in batch.to_pylist()], pa.string())
+        # Row by row, as Arrow's own buffers: lists of a whole batch's ids would be many times as large.
+        return pa.array([decode(x.values.to_numpy().astype("<u4").tobytes()) if x.is_valid else "" for x in batch], pa.string())
 
     return F.arrow_udf(run, T.StringType())(ids)
 
