@@ -177,7 +177,7 @@ def compare(rows: dict, window: int = WINDOW):
     one = value_range_hashes(mixed(values), origin[owner] + inside, origin[owner] + inside + window)
     two = value_range_hashes(mixed(values ^ np.uint64(0xABCDEF)), origin[owner] + inside, origin[owner] + inside + window)
     known = np.array([-(1 << 62) if d is None else d for d in rows["doc_id"]], np.int64)
-    order = np.lexsort((rows["start"][owner] + inside, known[owner], two, one, rows["key"][owner]))
+    order = np.lexsort((rows["text_hash"][owner], rows["start"][owner] + inside, known[owner], two, one, rows["key"][owner]))
     same = np.concatenate([[False], (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])
                            & (rows["key"][owner][order][1:] == rows["key"][owner][order][:-1])])
     hit = np.sort(order[same])

@@ -98,35 +98,37 @@ def candidates(docs: DataFrame, cut) -> tuple[DataFrame, DataFrame]:
 
 
 def with_bodies(docs: DataFrame, pieces: DataFrame, window: int, body: Callable[[bytes], Callable[[int, int], bytes]]) -> DataFrame:
-    """Pieces with their units (`body`), read from the text of their first occurrence."""
+    """Pieces with their units (`body`), read from the text of their first occurrence. Where rows repeat
+    in full, each gives its pieces."""
     wanted = pieces.groupBy(F.col("first.doc_id").alias("of_id"), F.col("first.text_hash").alias("of_hash")).agg(
         F.collect_list(F.struct("key", "piece", "times", F.col("first.start").alias("start"), "n", "anchor")).alias("wanted")
     )  # the pieces of one document
-    joined = docs.join(wanted, same_row(docs, wanted, "of_id", "of_hash")).select("doc_id", "text", "wanted")
+    joined = docs.join(wanted, same_row(docs, wanted, "of_id", "of_hash")).select("doc_id", "text_hash", "text", "wanted")
 
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
                 take = body(bytes_of(row.column("text"))[0])
-                doc_id = row.column("doc_id")[0].as_py()
+                doc_id, text_hash = row.column("doc_id")[0].as_py(), row.column("text_hash")[0].as_py()
                 rows = row.column("wanted")[0].as_py()
                 yield pa.RecordBatch.from_pydict(
                     {**{k: [r[k] for r in rows] for k in ("key", "piece", "times", "start", "n", "anchor")},
-                     "doc_id": [doc_id] * len(rows),
+                     "doc_id": [doc_id] * len(rows), "text_hash": [text_hash] * len(rows),
                      "body": [take(r["start"], r["start"] + r["n"] + window - 1) for r in rows]},
                     pa.schema([("key", pa.int64()), ("piece", pa.int64()), ("times", pa.int64()), ("start", pa.int64()),
-                               ("n", pa.int32()), ("anchor", pa.int32()), ("doc_id", pa.int64()), ("body", pa.binary())]))
+                               ("n", pa.int32()), ("anchor", pa.int32()), ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("body", pa.binary())]))
 
-    return joined.mapInArrow(run, "key bigint, piece bigint, times bigint, start bigint, n int, anchor int, doc_id bigint, body binary")
+    return joined.mapInArrow(run, "key bigint, piece bigint, times bigint, start bigint, n int, anchor int, doc_id bigint, text_hash bigint, body binary")
 
 
 def compared(bodies: DataFrame, compare: Callable[[dict], np.ndarray]) -> DataFrame:
     """key, piece, low, high: the windows of each piece that `compare` marks, as ranges.
 
-    Keys are dealt out by hash and come in order, so that a task holds a bounded number of pieces.
+    Keys are dealt out by hash and come in order, so that a task holds a bounded number of pieces. A piece
+    that comes again, from a row repeated in full, is one piece.
     """
-    dealt = bodies.repartition("key").sortWithinPartitions("key")
+    dealt = bodies.repartition("key").sortWithinPartitions(*PIECE)
 
     def run(batches):
         held: list[dict] = []
@@ -135,15 +137,20 @@ def compared(bodies: DataFrame, compare: Callable[[dict], np.ndarray]) -> DataFr
             key = np.array([r["key"] for r in rows], np.int64)
             marks = compare({
                 "key": key, "n": np.array([r["n"] for r in rows], np.int64), "anchor": np.array([r["anchor"] for r in rows], np.int64),
-                "doc_id": [r["doc_id"] for r in rows], "start": np.array([r["start"] for r in rows], np.int64),
+                "doc_id": [r["doc_id"] for r in rows], "text_hash": np.array([r["text_hash"] for r in rows], np.int64),
+                "start": np.array([r["start"] for r in rows], np.int64),
                 "body": [r["body"] for r in rows]})
             owner, low, high = marks
             yield pa.RecordBatch.from_arrays(
                 [pa.array(key[owner]), pa.array(np.array([r["piece"] for r in rows], np.int64)[owner]),
                  pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32))], ["key", "piece", "low", "high"])
 
+        before = None
         for batch in batches:
-            held += batch.to_pylist()
+            for row in batch.to_pylist():
+                if (row["key"], row["piece"]) != before:
+                    held.append(row)
+                    before = row["key"], row["piece"]
             if len(held) >= CHUNK_PIECES:
                 last = held[-1]["key"]
                 whole = len(held)
@@ -172,15 +179,15 @@ def window_by_window(bodies: DataFrame, window: int, width: int, earlier: bool)
                 same = lambda v, k: pa.array([v] * len(starts), k)
                 yield pa.RecordBatch.from_arrays(
                     [same(row["key"], pa.int64()), same(row["piece"], pa.int64()), pa.array(starts.astype(np.int32)),
-                     same(row["doc_id"], pa.int64()), pa.array(row["start"] + starts), pa.array(one.view(np.int64)), pa.array(two.view(np.int64))],
-                    ["key", "piece", "low", "doc_id", "at", "one", "two"])
+                     same(row["doc_id"], pa.int64()), pa.array(row["start"] + starts), same(row["text_hash"], pa.int64()), pa.array(one.view(np.int64)), pa.array(two.view(np.int64))],
+                    ["key", "piece", "low", "doc_id", "at", "text_hash", "one", "two"])
 
-    windows = bodies.mapInArrow(run, "key bigint, piece bigint, low int, doc_id bigint, at bigint, one bigint, two bigint")
+    windows = bodies.mapInArrow(run, "key bigint, piece bigint, low int, doc_id bigint, at bigint, text_hash bigint, one bigint, two bigint")
     windows = stored(windows, "windows-of-hot-keys")
-    facts = windows.groupBy("one", "two").agg(F.count("*").alias("times"), F.min(F.struct("doc_id", "at")).alias("first"))
+    facts = windows.groupBy("one", "two").agg(F.count("*").alias("times"), F.min(F.struct("doc_id", "at", "text_hash")).alias("first"))
     joined = windows.join(facts.where("times > 1"), ["one", "two"])
     if earlier:
-        joined = joined.where(F.struct("doc_id", "at") > F.col("first"))
+        joined = joined.where(F.struct("doc_id", "at", "text_hash") > F.col("first"))
     return joined.select("key", "piece", "low", (F.col("low") + 1).alias("high"))
 
 

@@ -133,6 +133,32 @@ def test_recompression_dedup(docs, texts, options):
     assert collected(recompress.word_report(docs, **options), "n_words", "n_removed", "kept_sha256") == expected
 
 
+@pytest.mark.parametrize("options", [{}, {"group_pieces": 1}])
+def test_recompression_keeps_the_first_of_rows_repeated_in_full(spark, options):
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(3000)]
+    first, other, again = (sentences(rng, 120, words) for _ in range(3))
+    cut_short = " ".join(first.split()[30:75])
+    later = {5: f"{sentences(rng, 3, words)} {cut_short} {sentences(rng, 30, words)}", 6: f"{again} {sentences(rng, 25, words)}"}
+    rows = [(1, first)] * 3 + [(2, other)] + [(3, again)] * 2 + [(4, f"{again[:len(again) // 2]} end")] * 2 + list(later.items())
+    expected = repeated_words(dict(rows))
+    assert expected[1][1] == expected[3][1] == 0 and expected[4][1] > 50 and expected[5][1] >= 45
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = recompress.word_report(frame, **options).collect()
+    assert len(got) == len(rows)
+    assert {(r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got} == {(i, *e) for i, e in expected.items()}
+
+
+@pytest.mark.parametrize("options", [{}, {"group_pieces": 1}])
+def test_recompression_orders_texts_of_one_doc_id(spark, options):
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(3000)]
+    shared = sentences(rng, 40, words)
+    rows = [(1, f"{shared} {sentences(rng, 30, words)}") for _ in range(4)]
+    got = recompress.word_report(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), **options).collect()
+    assert sorted(r["n_removed"] for r in got) == [0, 40, 40, 40]
+
+
 @pytest.mark.parametrize("letters", ["a", "ab", "abc", "abcdefgh"])
 def test_equal_windows_are_filed_alike(letters, monkeypatch):
     monkeypatch.setattr(recompress, "GROUP_WORDS", 150)
