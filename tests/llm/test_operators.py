@@ -330,6 +330,23 @@ def test_thresholds_follow_language_and_source(spark):
     assert kept == set(range(600)) | {1001}
 
 
+def test_fences_move_where_most_texts_have_none(spark):
+    rng = random.Random(8)
+    words = lambda n: ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(4, 6))) for _ in range(n)]
+    prose = lambda: " ".join(words(60))
+    ruled = lambda n: " ".join(" ".join([a, b, c, "|"]) for a, b, c in zip(words(n), words(n), words(n)))
+    # Lines with `again` repeated ones among forty.
+    lined = lambda again: "\n".join(["same one"] * (again + 1) + [" ".join(words(3)) for _ in range(39 - again)])
+    rows = [(100 + i, prose(), "en", "prose") for i in range(300)] + [(1000 + i, ruled(20), "en", "tables") for i in range(300)]
+    rows += [(2000 + i, lined(3 if i < 30 else 0), "en", "lists") for i in range(300)]
+    rows += [(1, ruled(20), "en", "tables"), (2, lined(9), "en", "lists"), (3, lined(9), "en", "prose"), (4, ruled(20), "en", "prose"),
+             (5, " ".join(chr(97 + k % 26) + chr(97 + k // 26) for k in range(60)), "en", "prose"), (6, prose(), "en", "prose")]
+    report = quality.quality_report(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")).collect()
+    assert not any(r["base_failed"] for r in report)
+    gone = {r["doc_id"] for r in report if not r["kept"]}
+    assert gone == {3, 4, 5}
+
+
 # ---- 9: benchmark passages
 
 
