@@ -100,8 +100,8 @@ def base_spans(text: str) -> list[Span]:
 def loose_spans(text: str, base: list[Span]) -> list[Span]:
     """Candidates that no base span and no earlier candidate overlaps, in order."""
     found = []
-    lower = text.lower() if not text.isascii() else text
-    if "@" in text or "at)" in lower or "at]" in lower or "at}" in lower or "AT" in text:
+    lower = text.lower()
+    if "@" in text or "at)" in lower or "at]" in lower or "at}" in lower:
         found += [(0, m.start(), m.end()) for m in SPELT.finditer(text)]
     if ANY_DIGIT.search(text):
         found += [(1, m.start(), m.end()) for m in LONG_IP.finditer(text)]

@@ -261,6 +261,14 @@ def test_base_spans_of_random_texts():
         assert [(pii.KINDS[k], a, b) for k, a, b in pii.base_spans(text)] == personal_spans(text)
 
 
+@pytest.mark.parametrize("sign", ["at", "At", "aT", "AT"])
+@pytest.mark.parametrize("more", ["", " é"])
+def test_spelt_signs_are_found_in_any_case(sign, more):
+    for opens, closes in ("()", "[]", "{}"):
+        text = f"jo {opens}{sign}{closes} ex {opens}dot{closes} org{more}"
+        assert [s[0] for s in pii.loose_spans(text, [])] == [0]
+
+
 def test_personal_data(docs, texts):
     got = collected(pii.find_personal_data(docs), "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
     for i, text in texts.items():
