@@ -103,23 +103,25 @@ def linked_pairs(prints: DataFrame, hot_bucket: int = HOT_BUCKET) -> DataFrame:
     )
 
 
-def fingerprint_components(docs: DataFrame, hot_bucket: int = HOT_BUCKET) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, fingerprint) per row of `docs`, and (fingerprint, texts, component_id) per fingerprint.
+def fingerprint_components(docs: DataFrame, hot_bucket: int = HOT_BUCKET, *also: str) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fingerprint, `also`) per row of `docs`, and (fingerprint, texts, component, component_id)
+    per fingerprint.
 
-    component_id is the smallest doc_id reachable over fingerprints within 3 bits. Rows whose doc_id
-    is null get a fingerprint, link nothing and have a null component unless others share theirs.
+    component names the fingerprints that are linked; component_id is the smallest doc_id reachable over
+    fingerprints within 3 bits. A doc_id with several texts links nothing. Rows whose doc_id is null get a
+    fingerprint, link nothing and have a null component_id unless others share theirs.
     """
-    printed = stored(docs.select("doc_id", fingerprints(F.col("text")).alias("fingerprint")), "fingerprints")
+    printed = stored(docs.select("doc_id", fingerprints(F.col("text")).alias("fingerprint"), *also), "fingerprints")
     classes = printed.groupBy("fingerprint").agg(F.min("doc_id").alias("lowest"), F.count("*").alias("texts"))
     nodes = classes.where("lowest is not null")
     pairs = linked_pairs(nodes.select("fingerprint"), hot_bucket)
-    low = lambda side: nodes.select(F.col("fingerprint").alias(side), F.col("lowest").alias(f"{side}_id"))
-    edges = pairs.join(low("left"), "left").join(low("right"), "right").select(
-        F.col("left_id").alias("node"), F.col("right_id").alias("other")
-    )
-    merged = connected(edges)
-    components = classes.join(merged, classes.lowest == merged.node, "left").select(
-        "fingerprint", "texts", F.coalesce("component", "lowest").alias("component_id")
+    merged = connected(pairs.select(F.col("left").alias("node"), F.col("right").alias("other")))
+    merged = merged.unionByName(merged.select(F.col("component").alias("node"), "component").distinct())  # roots
+    lows = nodes.join(merged, nodes["fingerprint"] == merged["node"]).groupBy("component").agg(F.min("lowest").alias("low"))
+    named = merged.join(lows, "component")
+    components = classes.join(named, classes["fingerprint"] == named["node"], "left").select(
+        "fingerprint", "texts", F.coalesce("component", "fingerprint").alias("component"),
+        F.coalesce("low", "lowest").alias("component_id"),
     )
     return printed, stored(components, "components")
 
@@ -139,16 +141,23 @@ def simhash_duplicates(docs: DataFrame, hot_bucket: int = HOT_BUCKET) -> DataFra
 
 
 def keep_one_per_component(docs: DataFrame, hot_bucket: int = HOT_BUCKET) -> DataFrame:
-    """The rows of `docs` whose doc_id is their component's smallest, with the same columns.
+    """One row of `docs` for each component, with the same columns: the one with the smallest doc_id, null
+    after all others; then the smallest fingerprint, then the smallest hash of the row.
 
-    Rows that repeat such a doc_id stay once; rows with a null doc_id all stay, for nothing names them.
+    Rows that repeat in full stay once. Rows with a null doc_id link nothing, but copies of a text that is
+    kept already go.
     """
-    printed, components = fingerprint_components(docs, hot_bucket)
-    keepers = join_with_hot(printed, components, ["fingerprint"], "texts").where("doc_id = component_id")
-    keepers = keepers.select(F.col("doc_id").alias("_keeper")).distinct()
-    named = docs.where("doc_id is not null")
-    kept = named.join(keepers, named["doc_id"] == keepers["_keeper"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    # Maps have no hash; rows that differ only in one count as equal.
+    names = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    values = [x for n in names for x in (F.col(f"`{n}`").isNull(), F.col(f"`{n}`"))]
+    keys = ["_keeper_id", "_keeper_row"]
+    marked = docs.withColumns({keys[0]: F.coalesce(F.col("doc_id").cast("string"), F.lit("")), keys[1]: F.xxhash64(*values)})
+    printed, components = fingerprint_components(marked, hot_bucket, *keys)
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "fingerprint", "_keeper_row", "_keeper_id")
+    firsts = printed.groupBy("fingerprint").agg(F.min(place).alias("first"))
+    keepers = firsts.join(components, "fingerprint").groupBy("component").agg(F.min("first").alias("first"))
+    keepers = keepers.select(*(F.col(f"first.{k}").alias(k) for k in keys)).distinct()
+    return marked.join(keepers, keys, "left_semi").dropDuplicates(keys).select(*(f"`{c}`" for c in docs.columns))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -217,6 +217,21 @@ def test_simhash(docs, texts):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(roots.values()))
 
 
+def test_one_row_stays_for_each_component_whatever_its_doc_id(spark):
+    rng = random.Random(13)
+    words = [f"w{i}" for i in range(500)]
+    one, two, three, four = (sentences(rng, 80, words) for _ in range(4))
+    rows = [(1, one, "a"), (5, one, "a"), (5, two, "a"), (5, two, "a"), (6, two, "b"), (None, three, "a"), (None, three, "a"),
+            (None, one, "a"), (7, four, "b"), (7, four, "a")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    kept = [[tuple(r) for r in simhash.keep_one_per_component(frame.repartition(n)).collect()] for n in (1, 5)]
+    assert {r[:2] for r in kept[0]} == {(1, one), (5, two), (None, three), (7, four)}
+    assert len(kept[0]) == 4 and set(kept[0]) == set(kept[1])
+    ids = {(r["doc_id"], r["fingerprint"]): r["component_id"] for r in simhash.simhash_duplicates(frame).collect()}
+    of = lambda i, text: ids[i, f"{fingerprint(text):016x}"]
+    assert of(5, one) == of(None, one) == 1 and of(5, two) == of(6, two) == 5 and of(None, three) is None
+
+
 @pytest.mark.parametrize("hot_bucket", [1000, 1])
 def test_all_pairs_within_three_bits_are_linked(spark, hot_bucket):
     rng = random.Random(1)
