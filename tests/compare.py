@@ -28,7 +28,7 @@ def differences(df, con, sql: str) -> list[str]:
     relation = con.sql(sql)
     if sorted(relation.columns) != names:
         return [f"columns {names} against {sorted(relation.columns)}"]
-    kinds = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+    kinds = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
     theirs = dict(zip(relation.columns, map(str, relation.types)))
     types = [
         f"{f.name}: {f.dataType.simpleString()} against {theirs[f.name]}"
