@@ -17,7 +17,6 @@ import hashlib
 import heapq
 import json
 import re
-import unicodedata
 from collections.abc import Iterator
 from itertools import filterfalse
 
@@ -27,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scoreflow.llm.common import table, texts_of, worker_cache
+from scoreflow.llm.common import map_batches, table, texts_of, worker_cache
 
 LONG_WORD = 200
 REMEMBERED = 300_000
@@ -58,6 +57,7 @@ class Vocabulary:
             self.rank[ids[a] << 20 | ids[b]] = rank
             self.merged.append(ids[a + b])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.pattern = word_pattern()
         tokens = {**ids, **self.special}
         self.tokens = [""] * (max(tokens.values()) + 1)
         for token, i in tokens.items():
@@ -200,19 +200,30 @@ def merge_long(parts: list[int], vocabulary: Vocabulary) -> list[int]:
 
 
 def word_pattern() -> str:
-    """The vocabulary's cutting of a text into words. Letters and numbers are those of Python's Unicode
-    tables, which are closer to the vocabulary's own reader than those of `regex`."""
+    """The vocabulary's cutting of a text into words. Which code points are letters and numbers is asked of the
+    tokenizers library, whose Unicode tables are not Python's."""
+    from tokenizers import Regex
+    from tokenizers.pre_tokenizers import Split
+
+    points = np.concatenate([np.arange(0xD800), np.arange(0xE000, 0x110000)])
+    every = "".join(map(chr, points.tolist()))
+
     def ranges(kind: str) -> str:
-        flags = np.array([0, *(unicodedata.category(chr(c))[0] == kind for c in range(0x110000)), 0], np.int8)
-        steps = np.diff(flags)
-        bounds = zip(np.flatnonzero(steps == 1).tolist(), np.flatnonzero(steps == -1).tolist())
-        return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in bounds)
+        found = Split(Regex(f"[\\p{{{kind}}}]+"), "removed", invert=True).pre_tokenize_str(every)
+        return "".join(f"\\U{ord(run[0]):08x}-\\U{ord(run[-1]):08x}" for run, _ in found)
 
     letters, numbers = ranges("L"), ranges("N")
     spaces = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
     return f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{spaces}{letters}{numbers}]+"
 
 
+def library_normalizer():
+    """Composed and lower-cased letter by letter, by the library's tables."""
+    from tokenizers.normalizers import NFC, Lowercase, Sequence
+
+    return Sequence([NFC(), Lowercase()]).normalize_str
+
+
 class Encoder:
     """Encodes texts in groups; remembers chunks between white space and words, up to REMEMBERED each."""
 
@@ -221,7 +232,8 @@ class Encoder:
         self.ranks_of = PairRanks(vocabulary.rank)
         self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
-        self.find = re.compile(word_pattern()).findall
+        self.find = re.compile(vocabulary.pattern).findall
+        self.normalized = library_normalizer()
         self.special = re.compile("(" + "|".join(map(re.escape, vocabulary.special)) + ")") if vocabulary.special else None
         # str.split() also cuts at these four; to the vocabulary they are signs.
         self.odd = re.compile("[\x1c-\x1f]").search
@@ -234,11 +246,7 @@ class Encoder:
         """Puts these chunks, and the words in them, into memory."""
         cut = {}
         for chunk in chunks:
-            text = chunk
-            if not text.isascii():
-                # Lower-cased letter by letter: a final sigma is no exception here.
-                text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-            cut[chunk] = self.find(text.lower())
+            cut[chunk] = self.find(chunk.lower() if chunk.isascii() else self.normalized(chunk))
         words = list({w for found in cut.values() for w in found if w not in self.words})
         coded = merge_words([w.encode("utf-8") for w in words], self.vocabulary, self.ranks_of)
         self.words.update(zip(words, coded))
@@ -315,28 +323,6 @@ REPORT = T.StructType([
 ])
 
 
-def encode_column(text: Column, shared: SharedVocabulary) -> Column:
-    """The ids of each text, array<int>; a null text has none."""
-
-    def run(batch: pa.Array) -> pa.Array:
-        encoder = encoder_of(shared)
-        ids = (np.frombuffer(x, "<i4") for some in groups(texts_of(batch)) for x in encoder.encode(some))
-        return pa.array(ids, pa.list_(pa.int32()))
-
-    return F.arrow_udf(run, T.ArrayType(T.IntegerType()))(text.cast("string"))
-
-
-def decode_column(ids: Column, shared: SharedVocabulary) -> Column:
-    """The text of each array of ids; null has the empty text."""
-
-    def run(batch: pa.Array) -> pa.Array:
-        decode = encoder_of(shared).decode
-        # Row by row, as Arrow's own buffers: lists of a whole batch's ids would be many times as large.
-        return pa.array([decode(x.values.to_numpy().astype("<u4").tobytes()) if x.is_valid else "" for x in batch], pa.string())
-
-    return F.arrow_udf(run, T.StringType())(ids)
-
-
 def round_trip_column(text: Column, shared: SharedVocabulary) -> Column:
     """n_tokens, ids_sha256, decoded_sha256 of each text, encoded and decoded again."""
 
@@ -364,10 +350,25 @@ def token_report(docs: DataFrame, path: str) -> DataFrame:
 
 
 def tokenized(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, ids (array<int>), n_tokens, decoded: what the pipeline hands on."""
+    """doc_id, n_tokens, ids (array<int>), decoded: what the pipeline hands on; a null text is empty."""
     shared = SharedVocabulary(docs.sparkSession, path)
-    ids = docs.select("doc_id", encode_column(F.col("text"), shared).alias("ids"))
-    return ids.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", decode_column(F.col("ids"), shared).alias("decoded"))
+
+    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        encoder = encoder_of(shared)
+        start = 0
+        for some in groups(texts_of(batch.column("text"))):
+            coded = encoder.encode(some)
+            sizes = np.fromiter((len(x) // 4 for x in coded), np.int64, len(coded))
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(coded), "<i4"), pa.int32()))
+            decoded = pa.array(map(encoder.decode, coded), pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").slice(start, len(some)), pa.array(sizes), ids, decoded], ["doc_id", "n_tokens", "ids", "decoded"])
+            start += len(some)
+
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    plain = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return map_batches(plain, work, f"doc_id {id_type}, n_tokens bigint, ids array<int>, decoded string")
 
 
 def word_vocabulary_path() -> str:
