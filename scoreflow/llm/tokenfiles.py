@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from scoreflow.llm.common import map_batches, table, texts_of, worker_cache
+from scoreflow.llm.common import map_batches, pieces_of, table, texts_of, worker_cache
 from scoreflow.session import scratch_path
 
 END_ID = 2
@@ -82,7 +82,7 @@ class ByteEncoder:
         if len(self.chunks) > REMEMBERED:
             self.chunks.clear()
         # A chunk keeps the line feed before it; a space is left out of its name.
-        cut = [text.replace("\n", " \n").split(" ") for text in texts]
+        cut = [(text.replace("\n", " \n") if "\n" in text else text).split(" ") for text in texts]
         unknown: set[str] = set()
         for chunks in cut:
             unknown.update(filterfalse(self.chunks.__contains__, chunks[1:]))
@@ -139,37 +139,32 @@ def encoded_blocks(docs: DataFrame, tokenizer_path: str, end_id: int, shards: in
         shared = spark.sparkContext.broadcast([tokenizer_path, file.read()])
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     ordered = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text).repartitionByRange(shards, "doc_id")
-    ordered = ordered.sortWithinPartitions("doc_id", F.xxhash64("text"))
+    # Rows that share a doc_id go by their texts, which are compared for those alone.
+    ordered = ordered.sortWithinPartitions("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, shard, block = byte_encoder(shared), TaskContext.get().partitionId(), 0
         counts = np.zeros(1 << 16, np.int64)
         end = np.array([end_id], "<u4").tobytes()
-        ids, doc_ids, lengths = [], [], []
+        ids, doc_ids, lengths, tokens = [], [], [], 0
 
         def flush():
-            nonlocal ids, doc_ids, lengths, block
+            nonlocal ids, doc_ids, lengths, tokens, block, counts
             joined = b"".join(ids)
+            found = np.bincount(np.frombuffer(joined, "<u4"), minlength=len(counts))
+            found[: len(counts)] += counts
+            counts = found
             row = [[shard], [block], [doc_ids], [lengths], [joined], [None]]
-            ids, doc_ids, lengths, block = [], [], [], block + 1
+            ids, doc_ids, lengths, tokens, block = [], [], [], 0, block + 1
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], names)
 
-        def some(batch):
-            for start in range(0, batch.num_rows, 256):
-                yield batch.slice(start, 256)
-
-        for batch in (part for whole in batches for part in some(whole)):
-            coded = encoder.encode(texts_of(batch.column("text")))
-            for doc_id, data in zip(batch.column("doc_id").to_pylist(), coded):
-                data += end
-                found = np.bincount(np.frombuffer(data, "<u4"))
-                if len(found) > len(counts):
-                    counts = np.concatenate([counts, np.zeros(len(found) - len(counts), np.int64)])
-                counts[: len(found)] += found
-                ids.append(data)
+        for piece in (p for batch in batches for p in pieces_of(batch)):
+            for doc_id, data in zip(piece.column("doc_id").to_pylist(), encoder.encode(texts_of(piece.column("text")))):
+                ids += (data, end)
                 doc_ids.append(doc_id)
-                lengths.append(len(data) // 4)
-                if sum(lengths) >= BLOCK_TOKENS:
+                lengths.append(len(data) // 4 + 1)
+                tokens += lengths[-1]
+                if tokens >= BLOCK_TOKENS:
                     yield flush()
         if ids:
             yield flush()
