@@ -202,3 +202,51 @@ def join_with_hot(rows: DataFrame, unique: DataFrame, keys: list[str], count: st
     near = rows.join(F.broadcast(hot), keys)
     far = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(rest, keys)
     return near.unionByName(far)
+
+
+def in_bitmap_column(hashes: Column, shared, bits: int) -> Column:
+    """Whether a bitmap (`bitmap_of`) has a column of hashes."""
+
+    def run(batch: pa.Array) -> pa.Array:
+        return pa.array(in_bitmap(batch.to_numpy(zero_copy_only=False).view(np.uint64), shared.value, bits))
+
+    return F.arrow_udf(run, "boolean")(hashes)
+
+
+MAX_BITMAP_BITS = 27
+
+
+def bits_for(count: int) -> int:
+    """A bitmap's size for so many keys: eight bits each, from 64 K to 128 M bits."""
+    return min(max((8 * count).bit_length(), 16), MAX_BITMAP_BITS)
+
+
+def kept_rows(rows: DataFrame, decided: DataFrame, keys: list[str]) -> DataFrame:
+    """Those of `rows` whose keys `decided` (keys..., _keep) keeps; one of the rows that share all keys. Null keys
+    are values like others.
+
+    Rows are large and keys small, so rows are not joined to keys. A bitmap of the keys that go, and of those
+    that come twice, lets all other rows through at once; of the rest, rows pass a second bitmap, of the kept
+    keys that the first one has by chance or twice. What both have is decided by a join on the keys: repeated
+    rows and about one in a hundred others.
+    """
+    name = F.xxhash64(*keys)
+    decided = stored(decided.groupBy(*keys).agg(F.max("_keep").alias("_keep"), F.count("*").alias("_times")).withColumn("_hash", name), "decided")
+    barred = decided.where(~F.col("_keep") | (F.col("_times") > 1))
+    count = barred.count()
+    if not count:
+        return rows
+    bits = bits_for(count)
+    first = bitmap_of(barred.select("_hash"), "_hash", bits)
+    unclear = stored(decided.where("_keep").where(in_bitmap_column(F.col("_hash"), first, bits)).select(*keys, "_hash"), "unclear")
+    more = bits_for(unclear.count())
+    second = bitmap_of(unclear.select("_hash"), "_hash", more)
+    marked = rows.withColumn("_hash", name)
+    sure = marked.where(~in_bitmap_column(F.col("_hash"), first, bits))
+    rest = marked.where(in_bitmap_column(F.col("_hash"), first, bits)).where(in_bitmap_column(F.col("_hash"), second, more))
+    other = unclear.select(*(F.col(k).alias(f"_other_{k}") for k in keys))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_other_{k}"))
+    settled = rest.join(other, same, "left_semi").dropDuplicates(keys)
+    return sure.unionByName(settled).drop("_hash")

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scoreflow.llm.common import stored, table, texts_of
+from scoreflow.llm.common import BATCH_ROWS, stored, table, texts_of
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -36,6 +36,9 @@ TWO_SIDED = ("word_length",)
 #: The sketches' k: their ranks are wrong by about 0.4 per cent, by 1.3 at Spark's own 200, too much for q97.
 SKETCH_ITEMS = 1000
 
+#: Groups whose fences are broadcast; some 150 bytes each.
+MAX_BROADCAST = 100_000
+
 FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 
 
@@ -71,13 +74,15 @@ def measure(text: str) -> tuple[int, int, int, int, int, int]:
 
 
 def _measured(text: pa.Array) -> pa.Array:
-    columns = list(zip(*map(measure, texts_of(text)))) or [[]] * len(FEATURES)
+    some = (x for start in range(0, len(text), BATCH_ROWS) for x in texts_of(text.slice(start, BATCH_ROWS)))
+    columns = list(zip(*map(measure, some))) or [[]] * len(FEATURES)
     return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], FEATURES)
 
 
 def measured(text: Column) -> Column:
     kind = T.StructType([T.StructField(name, T.LongType()) for name in FEATURES])
-    return F.arrow_udf(_measured, kind)(text.cast("string"))
+    # So marked, no filter or projection copies it: a text is measured once in a pass.
+    return F.arrow_udf(_measured, kind).asNondeterministic()(text.cast("string"))
 
 
 def with_measures(docs: DataFrame) -> DataFrame:
@@ -127,25 +132,37 @@ def thresholds(rates: DataFrame, min_group: int = MIN_GROUP, width: float = FENC
         return (low - F.greatest(width * (quantile(name, 0.5) - low), F.lit(least))).alias(f"{name}_low")
 
     fences = [upper(k, *v) for k, v in MEASURES.items()] + [lower(k, *MEASURES[k]) for k in TWO_SIDED]
-    return joined.select("lang", "source", F.struct(*fences).alias("_fences"))
+    return joined.select("lang", "source", F.col("own.n").alias("_texts"), F.struct(*fences).alias("_fences"))
+
+
+def group_key() -> Column:
+    """One string for each language and source; nulls are groups of their own."""
+    part = lambda c: F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), F.col(c)), F.lit("-"))
+    return F.concat(part("lang"), part("source"))
 
 
-def judged(rated: DataFrame, min_group: int = MIN_GROUP, width: float = FENCE_WIDTH) -> DataFrame:
+def with_fences(rated: DataFrame, rates: DataFrame, min_group: int, width: float, max_broadcast: int) -> DataFrame:
+    """`rated` with `_fences`, which come from `rates`: by broadcast if there are `max_broadcast` groups at most.
+    Of more, those with over a thousandth of all texts are broadcast, and the other rows joined by group."""
+    fences = stored(thresholds(rates, min_group, width).select(group_key().alias("_group"), "_texts", "_fences"), "fences")
+    rows, own = rated.withColumn("_group", group_key()), fences.select("_group", "_fences")
+    if fences.count() <= max_broadcast:
+        return rows.join(F.broadcast(own), "_group", "left")
+    total = fences.agg(F.sum("_texts")).head()[0]
+    hot = F.broadcast(fences.where(F.col("_texts") * 1000 > total).select("_group", "_fences"))
+    near = rows.join(hot, "_group")
+    return near.unionByName(rows.join(hot, "_group", "left_anti").join(own, "_group", "left"))
+
+
+def judged(rated: DataFrame, rates: DataFrame, min_group: int = MIN_GROUP, width: float = FENCE_WIDTH,
+           max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """Measured texts (`with_measures`) with `_kept`: false if the fixed rules fail or a rate lies
-    outside its group's fences. Thresholds come from the texts that pass the fixed rules.
+    outside its group's fences. Thresholds come from `rates`, those of the texts that pass the fixed rules.
 
     A null text has no words and fails; null languages and sources are groups of their own; repeated
     rows count and stay; an empty table gives no rows; other columns pass through unchanged.
     """
-    passing = rated.where(~F.col("_base_failed")).select("lang", "source", "_rates.*")
-    fences = thresholds(passing, min_group, width).select(
-        F.col("lang").alias("_fence_lang"), F.col("source").alias("_fence_source"), "_fences"
-    )
-    joined = rated.join(
-        fences,
-        F.col("lang").eqNullSafe(F.col("_fence_lang")) & F.col("source").eqNullSafe(F.col("_fence_source")),
-        "left",
-    )
+    joined = with_fences(rated, rates, min_group, width, max_broadcast)
     within = F.lit(True)
     for name in MEASURES:
         within = within & F.coalesce(F.col(f"_rates.{name}") <= F.col(f"_fences.{name}"), F.lit(True))
@@ -154,10 +171,19 @@ def judged(rated: DataFrame, min_group: int = MIN_GROUP, width: float = FENCE_WI
     return joined.withColumn("_kept", ~F.col("_base_failed") & within)
 
 
+def measures_of(docs: DataFrame) -> DataFrame:
+    """doc_id, lang, source, _m, _rates, _base_failed, stored: small rows, without the texts."""
+    return stored(with_measures(docs.select("doc_id", "text", "lang", "source")).drop("text"), "measures")
+
+
+def passing(rated: DataFrame) -> DataFrame:
+    return rated.where(~F.col("_base_failed")).select("lang", "source", "_rates.*")
+
+
 def quality_report(docs: DataFrame, **options) -> DataFrame:
     """One row for each row of `docs`, measured once: the small rows of counts are stored, not the texts."""
-    rated = stored(with_measures(docs.select("doc_id", "text", "lang", "source")).drop("text"), "measures")
-    rows = judged(rated, **options)
+    rated = measures_of(docs)
+    rows = judged(rated, passing(rated), **options)
     return rows.select(
         "doc_id", "_m.n_words", "_m.word_chars", "_m.n_symbols", "_m.n_dup_lines", "_m.n_repeat_words",
         F.col("_base_failed").alias("base_failed"), F.col("_kept").alias("kept"),
@@ -165,10 +191,10 @@ def quality_report(docs: DataFrame, **options) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
-    """The rows of `docs` that pass, unchanged, whatever their columns are called. The texts are measured
-    twice, which costs less than to store or shuffle them."""
+    """The rows of `docs` that pass, unchanged, whatever their columns are called. Texts are measured for the
+    fences, and again where they are read to be kept or dropped: no text is written or shuffled in between."""
     packed = docs.select(F.struct("*").alias("row")).select("row", "row.text", "row.lang", "row.source")
-    return judged(with_measures(packed), **options).where("_kept").select("row.*")
+    return judged(with_measures(packed), passing(measures_of(docs)), **options).where("_kept").select("row.*")
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scoreflow.llm.common import bytes_of, join_with_hot, stored, table
+from scoreflow.llm.common import bytes_of, join_with_hot, kept_rows, stored, table
 from scoreflow.llm.components import connected
 
 SHINGLE_WORDS = 3
@@ -156,8 +156,9 @@ def keep_one_per_component(docs: DataFrame, hot_bucket: int = HOT_BUCKET) -> Dat
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "fingerprint", "_keeper_row", "_keeper_id")
     firsts = printed.groupBy("fingerprint").agg(F.min(place).alias("first"))
     keepers = firsts.join(components, "fingerprint").groupBy("component").agg(F.min("first").alias("first"))
-    keepers = keepers.select(*(F.col(f"first.{k}").alias(k) for k in keys)).distinct()
-    return marked.join(keepers, keys, "left_semi").dropDuplicates(keys).select(*(f"`{c}`" for c in docs.columns))
+    keepers = keepers.select(*(F.col(f"first.{k}").alias(k) for k in keys)).distinct().withColumn("_found", F.lit(True))
+    decided = printed.select(*keys).join(keepers, keys, "left").select(*keys, F.col("_found").isNotNull().alias("_keep"))
+    return kept_rows(marked, decided, keys).select(*(f"`{c}`" for c in docs.columns))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
