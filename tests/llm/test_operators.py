@@ -353,6 +353,48 @@ def test_thresholds_follow_language_and_source(spark):
     assert kept == set(range(600)) | {1001}
 
 
+def test_kept_is_what_the_fences_say(spark):
+    """Fences of exact quantiles, which the sketches equal in groups this small, and the verdicts they give."""
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefg") for _ in range(rng.randint(2, 9))) for _ in range(900)]
+    rows = []
+    for k in range(700):
+        text = rng.sample(words, 70) + ["long" * 4] * (k % 3)
+        text += ["#"] * (60 if k % 41 == 0 else rng.randint(1, 12) if k % 9 == 0 else 0)
+        body = " ".join(text) + "\nsame line" * (k % 5 if k % 4 == 0 else 0)
+        rows.append((k, body, ["en", "de", None][k % 3], ["a", "b"][k % 2 if k < 600 else 0], None, "k", 1, "c"))
+    frame = spark.createDataFrame(rows, SCHEMA)
+    measured_rows = {i: quality.measure(t) for i, t, *_ in rows}
+    rates = {}
+    for i, (n, chars, symbols, dup, repeat, lines) in measured_rows.items():
+        rates[i] = {"symbol_rate": symbols / n, "dup_line_rate": dup / lines, "repeat_rate": repeat / n, "word_length": chars / n}
+    own, wide = defaultdict(list), defaultdict(list)
+    for i, _, lang, source, *_ in rows:
+        own[lang, source].append(i)
+        wide[lang].append(i)
+
+    def quantile(values, rank):
+        values = sorted(values)
+        return values[min(max(int(np.ceil(rank * len(values))) - 1, 0), len(values) - 1)]
+
+    expected = {}
+    for i, _, lang, source, *_ in rows:
+        group = own[lang, source] if len(own[lang, source]) >= 110 else wide[lang]
+        kept = True
+        for name, (rank, least) in quality.MEASURES.items():
+            values = [rates[j][name] for j in group]
+            high, middle, low = (quantile(values, r) for r in (rank, 0.5, 1 - rank))
+            kept &= rates[i][name] <= high + max(3 * (high - middle), least)
+            if name in quality.TWO_SIDED:
+                kept &= rates[i][name] >= low - max(3 * (middle - low), least)
+        expected[i] = kept
+    for most in (quality.MAX_BROADCAST, 1):  # fences by broadcast, and by group
+        got = {r["doc_id"]: r["kept"] for r in quality.quality_report(frame, min_group=110, max_broadcast=most).collect()}
+        assert got == expected
+    assert 0 < sum(expected.values()) < len(expected)
+    assert {r["doc_id"] for r in quality.keep_good(frame, min_group=110).collect()} == {i for i, k in expected.items() if k}
+
+
 def test_fences_move_where_most_texts_have_none(spark):
     rng = random.Random(8)
     words = lambda n: ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(4, 6))) for _ in range(n)]
@@ -428,6 +470,19 @@ def test_word_bpe(docs, texts, word_tokenizer):
     assert rows[12]["decoded"] == word_tokenizer.decode(rows[12]["ids"], skip_special_tokens=False)
 
 
+def test_word_bpe_knows_every_code_point(word_tokenizer):
+    """All code points but surrogates; of private ones and of the large even blocks some."""
+    encoder = wordbpe.Encoder(wordbpe.Vocabulary(wordbpe.word_vocabulary_path()))
+    even = [(0x3400, 0x9FFF), (0xAC00, 0xD7A3), (0x20000, 0x3FFFF), (0x40000, 0x10FFFF)]
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000
+              and (c % 97 == 0 or not any(a + 300 < c < b - 300 for a, b in even))]
+    for start in range(0, len(points), 2000):
+        made = [f"x{chr(c)}1 {chr(c)}" for c in points[start : start + 2000]]
+        theirs = word_tokenizer.encode_batch(made, add_special_tokens=False)
+        ours = encoder.encode(made)
+        assert [m for m, o, t in zip(made, ours, theirs) if np.frombuffer(o, "<u4").tolist() != t.ids] == []
+
+
 def test_word_bpe_on_random_texts(word_tokenizer):
     encoder = wordbpe.Encoder(wordbpe.Vocabulary(wordbpe.word_vocabulary_path()))
     rng = random.Random(3)

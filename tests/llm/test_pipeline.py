@@ -44,3 +44,21 @@ def test_stages_on_awkward_tables(spark, sf_dir, rows):
         assert out.columns == docs.columns
         assert out.count() <= len(rows)
     assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() == len(rows)
+
+
+def test_no_stage_that_filters_moves_texts(spark, sf_dir):
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id is not null")
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        plan = stage(spark, documents, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        joins = [line for line in plan.splitlines() if "Join" in line]
+        assert len(joins) <= 1 and "Repartition" not in plan, (name, plan)
+
+
+def test_stages_on_long_texts_and_repeated_rows(spark, sf_dir):
+    long = " ".join(f"w{k}x{k % 7}" for k in range(60000))
+    other = " ".join(f"v{k}y" for k in range(400))
+    rows = [(1, long), (1, long), (2, long), (3, other), (3, other), (3, long), (None, other)]
+    docs = spark.createDataFrame([(i, t, "en", "a", None, None, None, None) for i, t in rows], SCHEMA)
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        docs = stage(spark, docs, sf_dir)
+    assert sorted((r["doc_id"], len(r["text"])) for r in docs.collect()) == [(1, len(long)), (3, len(other))]
