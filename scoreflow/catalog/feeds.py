@@ -165,3 +165,20 @@ BOOST8 = TreeEnsemble({
         _split("F7", 12, _split("F1", 0, 33, -66), _split("F5", 3, 150, -20)),
     ],
 })
+
+
+def edge_features(orders: DataFrame) -> DataFrame:
+    """`PNO`, `price` and `far`: values that single precision rounds, up and down and to even."""
+    return orders.selectExpr(
+        "concat('P', o_orderkey) AS PNO", "o_totalprice AS price", "CAST(16777208 + o_orderkey % 16 AS DOUBLE) + 0.25 * (o_custkey % 4) AS far")
+
+
+# Flat arrays of nodes, as forest trainers keep them. Thresholds lie at the edges of single precision: 16777217
+# is no single-precision number, so values there go the way of the number that they are rounded to.
+NODE_ARRAYS = [
+    {"children_left": [1, 3, -1, -1, -1], "children_right": [2, 4, -1, -1, -1], "feature": [1, 0, -2, -2, -2],
+     "threshold": [16777217.0, 150000.015625, -2.0, -2.0, -2.0], "value": [[[0.0]], [[0.0]], [[480.5]], [[120.25]], [[-61.0]]]},
+    {"children_left": [1, -1, 3, -1, -1], "children_right": [2, -1, 4, -1, -1], "feature": [1, -2, 1, -2, -2],
+     "threshold": [16777215.99, -2.0, 16777218.5, -2.0, -2.0], "value": [[[0.0]], [[30.0]], [[0.0]], [[90.75]], [[1207.5]]]},
+]
+FLAT_FOREST = TreeEnsemble.from_node_arrays(NODE_ARRAYS, ["price", "far"])

@@ -161,6 +161,15 @@ ORACLES: dict[str, str] = {
         SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS first_id, count(*) - 1 AS last_id,
                CAST(0 AS BIGINT) AS repeated_ids, count(DISTINCT o_orderkey) AS n_keys FROM orders""",
     "score_trees_large": _LARGE_SCORED,
+    "score_trees_masks": _LARGE_SCORED,
+    "score_flat_forest": """
+        WITH edges AS (
+          SELECT 'P' || o_orderkey AS "PNO", CAST(CAST(o_totalprice AS REAL) AS DOUBLE) AS price,
+                 CAST(CAST(16777208 + o_orderkey % 16 + 0.25::DOUBLE * (o_custkey % 4) AS REAL) AS DOUBLE) AS far FROM orders)
+        SELECT "PNO", prediction, prediction AS by_masks FROM (
+          SELECT "PNO", (CASE WHEN far <= 16777217.0 THEN CASE WHEN price <= 150000.015625 THEN 120.25 ELSE -61.0 END ELSE 480.5 END
+            + CASE WHEN far <= 16777215.99::DOUBLE THEN 30.0 WHEN far <= 16777218.5 THEN 90.75 ELSE 1207.5 END)::DOUBLE / 2 AS prediction
+          FROM edges)""",
     "score_boosted_import": f"""WITH {_PARSED}
 , halves AS (
   SELECT "PNO",
@@ -219,6 +228,18 @@ SELECT "PNO", prediction, CAST(trunc(prediction) AS BIGINT) AS seconds,
         SELECT 'table' AS sink, "PNO" || ',' || minutes AS line FROM timed
         UNION ALL SELECT 'topic', {_MINUTES} FROM timed
         UNION ALL SELECT 'file', "PNO" || ',' || minutes FROM timed""",
+    "stream_ledger_delivery": f"""WITH {_KEYED_SCORED}
+        SELECT sink, "PNO" || ',' || minutes AS line FROM timed, (VALUES ('first'), ('failing'), ('last')) AS sinks(sink)""",
+    "stream_messages_once": f'WITH {_KEYED_SCORED} SELECT "PNO", {_MINUTES} AS message FROM timed',
+    "first_delivery_rows": f"WITH {_KEYED_SCORED} SELECT minutes, count(*) AS n_rows FROM timed GROUP BY minutes",
+    "stream_mape": f"""WITH {_FEED}
+        SELECT round(avg(abs((60 + k % 3600 - {_FOREST}) / nullif(60 + k % 3600, 0))) * 100, 6) AS mape,
+               true AS several_batches FROM feed""",
+    "stream_sql_batches": f"""WITH {_KEYED_SCORED}
+        SELECT minutes, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(seconds) AS BIGINT) AS total FROM timed GROUP BY minutes""",
+    "stream_dense_index": f"""WITH {_KEYED_SCORED}
+        SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS first_id, count(*) - 1 AS last_id, count(*) AS n_ids,
+               count(DISTINCT "PNO") AS n_keys FROM timed""",
     "stream_named_projection": f"""WITH {_FEED}
         SELECT o_totalprice / 100 AS "PNO", CAST("ORDERDR_n" AS VARCHAR) AS usetime FROM feed""",
     "stream_events_parquet": """SELECT CAST(user_id AS VARCHAR) AS "key",

@@ -6,12 +6,14 @@ writes the feed it needs from a table to the shared scratch folder.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from scoreflow import plans
@@ -37,6 +39,7 @@ from scoreflow.functions import (
 from scoreflow.layouts import KAFKA8, KEYED7, MRI11, FieldLayout
 from scoreflow.models import TreeEnsemble, broadcast_model
 from scoreflow.operators import (
+    ObservedError,
     cast_columns,
     distribute,
     keep_int_field,
@@ -51,14 +54,20 @@ from scoreflow.operators import (
     score_trees,
     with_dense_index,
     with_minutes,
+    with_observed_error,
     with_seconds,
 )
 from scoreflow.session import scratch_path
 from scoreflow.sinks import (
+    each_once,
+    first_delivery,
     key_minutes_sink,
+    parquet_sink,
     result_rows,
     result_table_sink,
     text_sink,
+    with_message_id,
+    with_place,
     write_csv,
     write_parquet,
     write_table,
@@ -75,7 +84,7 @@ from scoreflow.sources import (
     stream_parquet,
     stream_table,
 )
-from scoreflow.streaming import start_fan_out, start_files
+from scoreflow.streaming import ledger_folder, numbered, sql_sink, start_fan_out, start_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -274,6 +283,21 @@ def score_trees_large(spark, sf_dir):
     return scored.select("PNO", "prediction")
 
 
+@query
+def score_trees_masks(spark, sf_dir):
+    """The same forest as bit masks, without Python workers."""
+    scored = score_trees(_parsed(spark, sf_dir), feeds.large_forest(), form="masks")
+    return scored.select("PNO", "prediction")
+
+
+@query
+def score_flat_forest(spark, sf_dir):
+    """A forest from flat arrays of nodes, over values at the edges of single precision."""
+    rows = feeds.edge_features(_orders(spark, sf_dir))
+    masks = score_trees(rows, feeds.FLAT_FOREST, name="by_masks", form="masks")
+    return score_trees(masks, feeds.FLAT_FOREST).select("PNO", "prediction", "by_masks")
+
+
 @query
 def score_boosted_import(spark, sf_dir):
     """A trainer's dump over records with missing fields, in single precision."""
@@ -478,6 +502,134 @@ def stream_fan_out(spark, sf_dir):
     return rows
 
 
+class FailsOnce:
+    """A sink that runs another one and then fails, the first time a batch has the number."""
+
+    def __init__(self, sink, number: int = 1):
+        self.sink, self.number, self.failed = sink, number, False
+
+    def __call__(self, df, batch):
+        self.sink(df, batch)
+        if batch[1] == self.number and not self.failed:
+            self.failed = True
+            raise RuntimeError("this sink fails once")
+
+
+def _until_done(start) -> None:
+    """Run a stream that takes what is there; begin anew where a sink failed."""
+    for _ in range(3):
+        try:
+            start().awaitTermination()
+            return
+        except StreamingQueryException as error:
+            if "this sink fails once" not in str(error):
+                raise
+    raise RuntimeError("the stream failed again and again")
+
+
+def _keyed_stream(spark, sf_dir, parts: int = 4) -> DataFrame:
+    """Keyed records scored on a stream of several micro-batches, one file each."""
+    source = scratch_path(spark, "keyed7")
+    records = feeds.keyed7_records(_orders(spark, sf_dir))
+    write_parquet(records.repartition(parts, "key"), source)
+    return plans.score_keyed_stream(stream_parquet(spark, source, records.schema, max_files=1), BOOST3)
+
+
+@query
+def stream_ledger_delivery(spark, sf_dir):
+    """Sinks that only append, one of which fails after its first write: the others have each line once."""
+    scored, checkpoint = _keyed_stream(spark, sf_dir), scratch_path(spark, "stream-checkpoint")
+    paths = [scratch_path(spark, label) for label in ("first", "failing", "last")]
+    line = key_minutes_line(F.col("PNO"), F.col("minutes"))
+    sinks = [text_sink(path, line, keyed=False) for path in paths]
+    sinks[1] = FailsOnce(text_sink(paths[1], line))  # its own batch is replaced
+    _until_done(lambda: start_fan_out(scored, sinks, checkpoint, interval=None, ledger=True))
+    rows = None
+    for name, path in zip(("first", "failing", "last"), paths):
+        lines = spark.read.text(path).select(F.lit(name).alias("sink"), F.col("value").alias("line"))
+        rows = lines if rows is None else rows.unionByName(lines)
+    return rows
+
+
+@query
+def stream_messages_once(spark, sf_dir):
+    """Messages with ids, some sent twice by a batch that ran again, read as a stream that takes each once."""
+    scored, checkpoint = _keyed_stream(spark, sf_dir), scratch_path(spark, "stream-checkpoint")
+    topic, target = scratch_path(spark, "topic"), scratch_path(spark, "messages")
+
+    def send(df, batch):
+        out = with_message_id(df, batch, ["PNO", "minutes"])
+        message = minutes_message(F.col("PNO"), F.col("minutes")).alias("message")
+        write_parquet(out.select("PNO", message, "message_id", F.current_timestamp().alias("sent")), topic)
+
+    sinks = [FailsOnce(send)]
+    _until_done(lambda: start_fan_out(scored, sinks, checkpoint, interval=None))
+    sent = spark.read.parquet(topic)
+    read = each_once(stream_parquet(spark, topic, sent.schema, max_files=25), "sent", "1 day").select("PNO", "message")
+    start_files(read, "parquet", target, scratch_path(spark, "stream-checkpoint"), interval=None).awaitTermination()
+    return spark.read.schema(read.schema).parquet(target)
+
+
+@query
+def first_delivery_rows(spark, sf_dir):
+    """A batch delivered twice, its rows dealt out anew: equal rows of one delivery all stay, how many there are."""
+    rows = _keyed_scored(spark, sf_dir).select("minutes")
+    path = scratch_path(spark, "delivered")
+    for parts in (3, 5):
+        again = with_place(rows.repartition(parts))
+        write_parquet(again.withColumns({"stream_id": F.lit("s"), "batch_id": F.lit(7)}), path)
+    return first_delivery(spark.read.parquet(path)).groupBy("minutes").agg(F.count("*").alias("n_rows"))
+
+
+@query
+def stream_mape(spark, sf_dir):
+    """The error of a scored stream, summed up on its way to a sink."""
+    source, target = scratch_path(spark, "features"), scratch_path(spark, "scored")
+    rows = feeds.features(_orders(spark, sf_dir)).withColumn("SECOND", 60 + F.col("k") % 3600).drop("o_orderdate", "o_totalprice")
+    write_parquet(rows.repartition(4, "k"), source)
+    name = f"error_{uuid.uuid4().hex}"
+    stream = score_trees(stream_parquet(spark, source, rows.schema, max_files=1), FOREST4)
+    seen = ObservedError(name)
+    spark.streams.addListener(seen)
+    try:
+        observed = with_observed_error(stream, "SECOND", "prediction", name).select("PNO", "prediction")
+        start_files(observed, "parquet", target, scratch_path(spark, "stream-checkpoint"), interval=None).awaitTermination()
+        expected = spark.read.schema(observed.schema).parquet(target).count()
+        for _ in range(300):  # progress is reported some time after a batch
+            if sum(n for _, n in seen.batches.values()) >= expected:
+                break
+            time.sleep(0.1)
+        else:
+            raise TimeoutError("the stream's progress was not reported")
+    finally:
+        spark.streams.removeListener(seen)
+    return spark.createDataFrame([(round(seen.mape(), 6), len(seen.batches) > 1)], "mape double, several_batches boolean")
+
+
+@query
+def stream_sql_batches(spark, sf_dir):
+    """SQL over a view of each micro-batch; the sums of all batches."""
+    scored, target = _keyed_stream(spark, sf_dir), scratch_path(spark, "sums")
+    text = "select minutes, count(*) as n_rows, sum(seconds) as total from batch group by minutes"
+    start_fan_out(
+        scored, [sql_sink(text, parquet_sink(target))], scratch_path(spark, "stream-checkpoint"), interval=None).awaitTermination()
+    sums = spark.read.parquet(target).groupBy("minutes")
+    return sums.agg(F.sum("n_rows").alias("n_rows"), F.sum("total").alias("total"))
+
+
+@query
+def stream_dense_index(spark, sf_dir):
+    """Numbers that go on from batch to batch, also over a batch that ran again."""
+    scored, target = _keyed_stream(spark, sf_dir), scratch_path(spark, "numbered")
+    checkpoint = scratch_path(spark, "stream-checkpoint")
+    sink = numbered(FailsOnce(parquet_sink(target)), ledger_folder(checkpoint), order_by="PNO")
+    _until_done(lambda: start_fan_out(scored, [sink], checkpoint, interval=None))
+    rows = spark.read.parquet(target)
+    return rows.agg(
+        F.count("*").alias("n_rows"), F.min("row_id").alias("first_id"), F.max("row_id").alias("last_id"),
+        F.count_distinct("row_id").alias("n_ids"), F.count_distinct("PNO").alias("n_keys"))
+
+
 @query
 def stream_named_projection(spark, sf_dir):
     """The first two fields of a stream's records, by SQL over a view on the stream."""

@@ -12,13 +12,15 @@ a base score, and "le" or "lt" as their trainer does.
 A split may say where missing values go, `"missing": "yes" | "no"`; a model with
 such splits scores rows whatever is missing, others need all features. NaN counts
 as missing there. With "single", values, thresholds and leaves are single-precision
-and are summed so, tree by tree from the base on, as boosting trainers do.
+and are summed so, tree by tree from the base on, as boosting trainers do. With
+`"inputs": "single"` only the values are rounded to single precision, and compared
+with thresholds in double precision, as trainers of averaged forests do.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 from pyspark.sql import Column, SparkSession, functions as F
@@ -33,11 +35,14 @@ class TreeEnsemble:
         self.base = float(spec.get("base", 0.0))
         self.split = spec.get("split", "le")
         self.precision = spec.get("precision", "double")
+        self.inputs = spec.get("inputs", self.precision)
         self.trees = spec["trees"]
         if self.combine not in ("mean", "sum") or self.split not in ("le", "lt"):
             raise ValueError("combine must be mean or sum, split must be le or lt")
         if self.precision not in ("double", "single"):
             raise ValueError("precision must be double or single")
+        if self.inputs not in ("double", "single"):
+            raise ValueError("inputs must be double or single")
         if not self.trees:
             raise ValueError("an ensemble needs at least one tree")
         self._tables = [_tables(t, self.features) for t in self.trees]
@@ -67,6 +72,54 @@ class TreeEnsemble:
         return cls({"features": list(features), "combine": "sum", "base": base, "split": "lt",
                     "precision": "single", "trees": [node(tree) for tree in dumped]})
 
+    @classmethod
+    def from_node_arrays(
+        cls, trees: Sequence[Mapping[str, Sequence]], features: Sequence[str], combine: str = "mean", base: float = 0.0
+    ) -> TreeEnsemble:
+        """A forest from flat arrays of nodes, one set for each tree, as forest trainers keep them:
+        `children_left`, `children_right`, `feature`, `threshold` and `value`, all by node, the root first.
+
+        A node without children (-1) is a leaf. Values up to the threshold go left; they are rounded to single
+        precision before, thresholds stay in double precision. `value` has a number for each node, or nested lists
+        of one. `missing_go_to_left`, if there, says where missing values go; without it rows need all features.
+        Nodes that no path from the root reaches are ignored; a loop is refused.
+        """
+
+        def number(value) -> float:
+            while hasattr(value, "__len__"):
+                if len(value) != 1:
+                    raise ValueError("a leaf has several values")
+                value = value[0]
+            return float(value)
+
+        def tree(arrays: Mapping[str, Sequence]) -> dict:
+            left, right = arrays["children_left"], arrays["children_right"]
+            missing = arrays.get("missing_go_to_left")
+            made: dict[int, dict] = {}
+            seen, waiting = set(), [0]
+            order = []
+            while waiting:
+                i = waiting.pop()
+                if i in seen or not 0 <= i < len(left):
+                    raise ValueError(f"node {i} has two parents or is not there")
+                seen.add(i)
+                order.append(i)
+                if left[i] >= 0:
+                    waiting += [int(left[i]), int(right[i])]
+            for i in reversed(order):  # children before their parents
+                if left[i] < 0:
+                    made[i] = {"value": number(arrays["value"][i])}
+                    continue
+                made[i] = {
+                    "feature": features[int(arrays["feature"][i])], "threshold": float(arrays["threshold"][i]),
+                    "yes": made[int(left[i])], "no": made[int(right[i])]}
+                if missing is not None:
+                    made[i]["missing"] = "yes" if missing[i] else "no"
+            return made[0]
+
+        return cls({"features": list(features), "combine": combine, "base": base, "inputs": "single",
+                    "trees": [tree(arrays) for arrays in trees]})
+
     @classmethod
     def from_json(cls, text: str) -> TreeEnsemble:
         return cls(json.loads(text))
@@ -116,35 +169,42 @@ class TreeEnsemble:
         names = self.checked_columns(columns)
         inputs = {f: name(c) for f, c in zip(self.features, names)}
 
-        single = self.precision == "single"
-
-        def number(value: float) -> str:
-            return f"CAST({float(np.float32(value))!r}D AS FLOAT)" if single else f"{float(value)!r}D"
-
         def grow(node: dict) -> str:
             if "value" in node:
-                return number(node["value"])
-            value = f"CAST({inputs[node['feature']]} AS {'FLOAT' if single else 'DOUBLE'})"
-            test = f"{value} {operator} {number(node['threshold'])}"
+                return self.number_text(node["value"])
+            value = self.input_text(inputs[node["feature"]])
+            test = f"{value} {operator} {self.number_text(node['threshold'])}"
             if self.accepts_missing:
                 absent = f"({value} IS NULL OR isnan({value}))"
                 test = f"({absent} OR {test})" if node.get("missing") == "yes" else f"(NOT {absent} AND {test})"
             return f"CASE WHEN {test} THEN {grow(node['yes'])} ELSE {grow(node['no'])} END"
 
         operator = "<=" if self.split == "le" else "<"
-        trees = [grow(tree) for tree in self.trees]
-        if single:
-            summed = " + ".join([number(self.base), *trees] if self.combine == "sum" else trees)
-            mean = f" / {number(len(trees))} + {number(self.base)}" if self.combine == "mean" else ""
-            total = f"CAST(({summed}){mean} AS DOUBLE)"
-            known = " AND ".join(f"{column} IS NOT NULL" for column in inputs.values())
-            return F.expr(total if self.accepts_missing else f"CASE WHEN {known} THEN {total} END")
+        total = self.total_text([grow(tree) for tree in self.trees])
+        known = " AND ".join(f"{column} IS NOT NULL" for column in inputs.values())
+        return F.expr(total if self.accepts_missing else f"CASE WHEN {known} THEN {total} END")
+
+    def number_text(self, value: float) -> str:
+        """A threshold or leaf in SQL, in the model's precision."""
+        single = self.precision == "single"
+        return f"CAST({float(np.float32(value))!r}D AS FLOAT)" if single else f"{float(value)!r}D"
+
+    def input_text(self, column: str) -> str:
+        """A feature in SQL, as it is compared with thresholds."""
+        if self.precision == "single":
+            return f"CAST({column} AS FLOAT)"
+        return f"CAST(CAST({column} AS FLOAT) AS DOUBLE)" if self.inputs == "single" else f"CAST({column} AS DOUBLE)"
+
+    def total_text(self, trees: list[str]) -> str:
+        """The prediction in SQL from the trees' values."""
+        if self.precision == "single":
+            summed = " + ".join([self.number_text(self.base), *trees] if self.combine == "sum" else trees)
+            mean = f" / {self.number_text(len(trees))} + {self.number_text(self.base)}" if self.combine == "mean" else ""
+            return f"CAST(({summed}){mean} AS DOUBLE)"
         total = "(" + " + ".join(trees) + ")"
         if self.combine == "mean":
             total = f"{total} / {len(self.trees)}D"
-        known = " AND ".join(f"{column} IS NOT NULL" for column in inputs.values())
-        total = f"{total} + {self.base!r}D"
-        return F.expr(total if self.accepts_missing else f"CASE WHEN {known} THEN {total} END")
+        return f"{total} + {self.base!r}D"
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         """Predictions for the rows of a 2-D array, one tree level at a time."""
@@ -154,6 +214,8 @@ class TreeEnsemble:
         n = len(x)
         single = self.precision == "single"
         kind = np.float32 if single else np.float64
+        if self.inputs == "single":
+            x = x.astype(np.float32)
         cells = np.ascontiguousarray(x.T).ravel().astype(kind)  # one feature after the other
         rows = np.arange(n)
         total = np.full(n, self.base if single and self.combine == "sum" else 0, kind)

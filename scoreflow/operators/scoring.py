@@ -15,10 +15,11 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from scoreflow.functions.numbers import truncate, whole_minutes
+from scoreflow.models.masks import TreeMasks
 from scoreflow.models.shared import broadcast_model
 from scoreflow.models.trees import TreeEnsemble
 
-FORMS = ("column", "arrow")
+FORMS = ("column", "masks", "arrow")
 
 
 def score_trees(
@@ -28,18 +29,20 @@ def score_trees(
     name: str = "prediction",
     form: str = "column",
 ) -> DataFrame:
-    """Score a tree ensemble as one Column ("column") or in Arrow batches ("arrow").
+    """Score a tree ensemble as one Column ("column"), as bit masks ("masks") or in Arrow batches ("arrow").
 
-    Both give the same predictions and refuse the same calls. A Column stays in the
-    JVM, but some hundred splits outgrow a generated method that the JIT compiles;
-    arrays are faster then. The caller chooses, so that a plan does not change with
-    the model.
+    All give the same predictions and refuse the same calls. A Column and masks stay
+    in the JVM; some hundred splits outgrow a Column's generated method, which the JIT
+    does not compile then, and masks or arrays are faster. The caller chooses, so that
+    a plan does not change with the model.
     """
     if form not in FORMS:
         raise ValueError(f"form must be one of {FORMS}, got {form!r}")
     names = model.checked_columns(columns)
     if form == "column":
         return df.withColumn(name, model.to_column(names))
+    if form == "masks":
+        return TreeMasks(model).score(df, names, name)
     return score_python(df, model, names, name)
 
 

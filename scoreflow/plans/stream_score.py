@@ -58,6 +58,7 @@ def named_pairs(records: DataFrame, layout: FieldLayout = PAIR) -> DataFrame:
     return records.select("value").transform(project_pair, layout)
 
 
-def publish_minutes(servers: str, topic: str) -> Sink:
-    """Sink that sends the sentence on each scored row to a topic."""
-    return kafka_sink(servers, topic, minutes_message(F.col("PNO"), F.col("minutes")))
+def publish_minutes(servers: str, topic: str, identified: bool = False) -> Sink:
+    """Sink that sends the sentence on each scored row to a topic; `identified` gives each message its id as a header."""
+    over = ["PNO", "minutes"] if identified else None
+    return kafka_sink(servers, topic, minutes_message(F.col("PNO"), F.col("minutes")), over=over)

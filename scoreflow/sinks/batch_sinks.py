@@ -11,6 +11,7 @@ from scoreflow.fixed_values import CONSOLE_ROWS, RESULT_COLUMNS
 from scoreflow.functions.messages import key_minutes_line, result_time
 from scoreflow.operators.batches import visit_partitions
 from scoreflow.sinks import writers
+from scoreflow.sinks.identity import id_header, with_message_id, with_place
 from scoreflow.sinks.writers import Batch
 
 Sink = Callable[[DataFrame, Batch], None]
@@ -20,10 +21,14 @@ def result_rows(
     df: DataFrame, key: str = "PNO", minutes: str = "minutes", stamp: Column | None = None
 ) -> DataFrame:
     """Rows of the result table: key, minutes and the time of writing, in session time."""
+    return result_rows_of(df, key, minutes, stamp)
+
+
+def result_rows_of(df: DataFrame, key: str, minutes: str, stamp: Column | None, *also: str) -> DataFrame:
     pno, pretime, time = RESULT_COLUMNS
     stamp = F.current_timestamp() if stamp is None else stamp
     return df.select(
-        F.col(key).alias(pno), F.col(minutes).alias(pretime), result_time(stamp).alias(time)
+        F.col(key).alias(pno), F.col(minutes).alias(pretime), result_time(stamp).alias(time), *also
     )
 
 
@@ -74,15 +79,33 @@ def result_table_sink(table: str, path: str | None = None, keyed: bool = True) -
 def result_jdbc_sink(
     url: str, table: str, properties: dict[str, str], connections: int = 8, tag_batches: bool = False
 ) -> Sink:
+    """Result rows into a database table; with `tag_batches` each with its batch and its place there."""
+
     def write(df: DataFrame, batch: Batch) -> None:
-        tag = batch if tag_batches else None
-        writers.write_jdbc(result_rows(df), url, table, properties, connections, tag)
+        rows, tag = (placed_result_rows(df), batch) if tag_batches else (result_rows(df), None)
+        writers.write_jdbc(rows, url, table, properties, connections, tag)
 
     return write
 
 
-def kafka_sink(servers: str, topic: str, value: Column | str, key: Column | str | None = None) -> Sink:
-    return lambda df, batch: writers.write_kafka(df, servers, topic, value, key)
+def placed_result_rows(df: DataFrame, key: str = "PNO", minutes: str = "minutes", stamp: Column | None = None) -> DataFrame:
+    """`result_rows` with `place`, which the time of writing has no part in."""
+    return result_rows_of(with_place(df, [key, minutes]), key, minutes, stamp, writers.PLACE_COLUMN)
+
+
+def kafka_sink(
+    servers: str, topic: str, value: Column | str, key: Column | str | None = None, over: Sequence[str] | None = None
+) -> Sink:
+    """Messages to a topic. With `over`, the columns that make a message, each carries its id as a header, by which
+    readers know a batch that came again (`sinks.each_once`)."""
+
+    def write(df: DataFrame, batch: Batch) -> None:
+        if over is None:
+            writers.write_kafka(df, servers, topic, value, key)
+        else:
+            writers.write_kafka(with_message_id(df, batch, over), servers, topic, value, key, id_header())
+
+    return write
 
 
 def console_sink(rows: int = CONSOLE_ROWS) -> Sink:

@@ -15,6 +15,7 @@ from scoreflow.functions.sqltext import literal
 
 Batch = tuple[str, int]
 BATCH_COLUMNS = ("stream_id", "batch_id")
+PLACE_COLUMN = "place"
 
 
 def write_text(
@@ -85,10 +86,11 @@ def jdbc_rows(df: DataFrame, connections: int = 8, batch: Batch | None = None) -
 def first_delivery(rows: DataFrame) -> DataFrame:
     """Rows of a table written with `batch`, without those that a repeated batch wrote again.
 
-    The rows of a batch are the same each time, so equal rows of one batch that come
-    an equal number of times per delivery are counted once. Give rows a key that is
-    unique within a batch, or equal rows of one batch become one.
+    Rows with a `place` (see `sinks.with_place`) are told apart by it: equal rows of one batch stay as many
+    as they are. Without places equal rows of one batch become one, unless the rows have a key.
     """
+    if PLACE_COLUMN in rows.columns:
+        return rows.dropDuplicates([*BATCH_COLUMNS, PLACE_COLUMN])
     return rows.dropDuplicates()
 
 
@@ -109,8 +111,10 @@ def write_jdbc(
     rows.write.jdbc(url, table, mode="append", properties=jdbc_options(properties, connections))
 
 
-def kafka_records(df: DataFrame, value: Column | str, key: Column | str | None = None) -> DataFrame:
-    """The `value` (and `key`) columns Kafka takes."""
+def kafka_records(
+    df: DataFrame, value: Column | str, key: Column | str | None = None, headers: Column | None = None
+) -> DataFrame:
+    """The `value` (and `key`, and `headers`) columns Kafka takes."""
 
     def text(c: Column | str) -> Column:
         return (F.col(c) if isinstance(c, str) else c).cast("string")
@@ -118,13 +122,16 @@ def kafka_records(df: DataFrame, value: Column | str, key: Column | str | None =
     columns = [text(value).alias("value")]
     if key is not None:
         columns.insert(0, text(key).alias("key"))
+    if headers is not None:
+        columns.append(headers.alias("headers"))
     return df.select(*columns)
 
 
 def write_kafka(
-    df: DataFrame, servers: str, topic: str, value: Column | str, key: Column | str | None = None
+    df: DataFrame, servers: str, topic: str, value: Column | str, key: Column | str | None = None,
+    headers: Column | None = None,
 ) -> None:
-    records = kafka_records(df, value, key)
+    records = kafka_records(df, value, key, headers)
     records.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
 
 

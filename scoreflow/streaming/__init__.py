@@ -1,5 +1,10 @@
+from scoreflow.streaming.ledger import Ledger
 from scoreflow.streaming.queries import (
+    RowVisitor,
     fan_out,
+    ledger_folder,
+    numbered,
+    sql_sink,
     start_console,
     start_fan_out,
     start_files,
@@ -9,6 +14,6 @@ from scoreflow.streaming.queries import (
 )
 
 __all__ = [
-    "fan_out", "start_console", "start_fan_out", "start_files", "start_kafka", "start_table",
+    "Ledger", "RowVisitor", "fan_out", "ledger_folder", "numbered", "sql_sink", "start_console", "start_fan_out", "start_files", "start_kafka", "start_table",
     "start_visitor",
 ]
