@@ -16,7 +16,8 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import filterfalse
+from itertools import compress, filterfalse, repeat
+from operator import is_
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +57,7 @@ class ByteEncoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
         self.begins[[i for token, i in vocabulary.items() if token[0] in "\u0120\u010a"]] = True
+        self.signs = dict(zip(".,;:!?", self.library(list(".,;:!?"))))
         #: chunk without its space -> ids as little-endian 32-bit bytes, or None if it cannot stand alone.
         self.chunks: dict[str, bytes | None] = {}
 
@@ -64,8 +66,22 @@ class ByteEncoder:
         return [np.array(c.ids, "<u4").tobytes() for c in coded]
 
     def learn(self, names: list[str]) -> None:
-        self.chunks.update((n, None) for n in names if self.odd(n))
-        names = [n for n in names if n not in self.chunks]
+        # One look at all names together finds most often that there is nothing to look for in each.
+        lone = [n for n in ("", "\n") if n in names]
+        if lone or self.odd("".join(names)):
+            self.chunks.update((n, None) for n in names if self.odd(n))
+            names = [n for n in names if n not in self.chunks]
+        # A sign after a letter is a token of its own before white space, so only what precedes it is new.
+        signed = [n for n in names if n[-1] in self.signs and n[-2:-1].isascii() and n[-2:-1].isalpha()]
+        if signed:
+            bare = {n[:-1] for n in signed}
+            names = [n for n in bare.union(names).difference(signed) if n not in self.chunks]
+        self.encode_chunks(names)
+        for n in signed:
+            before = self.chunks[n[:-1]]
+            self.chunks[n] = None if before is None else before + self.signs[n[-1]]
+
+    def encode_chunks(self, names: list[str]) -> None:
         for start in range(0, len(names), TOGETHER):
             group = names[start : start + TOGETHER]
             spaced = [n if n[0] == "\n" else f" {n}" for n in group]
@@ -83,12 +99,18 @@ class ByteEncoder:
             self.chunks.clear()
         # A chunk keeps the line feed before it; a space is left out of its name.
         cut = [(text.replace("\n", " \n") if "\n" in text else text).split(" ") for text in texts]
+        known = self.chunks.get
+        rests = [list(map(known, chunks[1:])) for chunks in cut]
         unknown: set[str] = set()
-        for chunks in cut:
-            unknown.update(filterfalse(self.chunks.__contains__, chunks[1:]))
-        self.learn(list(unknown))
-        ids = self.chunks.__getitem__
-        rests = [list(map(ids, chunks[1:])) for chunks in cut]
+        for chunks, rest in zip(cut, rests):
+            if None in rest:
+                unknown.update(compress(chunks[1:], map(is_, rest, repeat(None))))
+        if unknown:
+            self.learn(list(filterfalse(self.chunks.__contains__, unknown)))
+            for chunks, rest in zip(cut, rests):
+                if None in rest:
+                    for i in [i for i, data in enumerate(rest, 1) if data is None]:
+                        rest[i - 1] = known(chunks[i])
         whole = [None in rest or (chunks[0] != "" and bool(self.odd(chunks[0]))) for chunks, rest in zip(cut, rests)]
         heads = self.library([t if w else chunks[0] for t, w, chunks in zip(texts, whole, cut)])
         return [head if w else head + b"".join(rest) for head, w, rest in zip(heads, whole, rests)]
