@@ -69,7 +69,7 @@ def joined(df, **options):
     return Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in setjoin.jaccard_components(df, **options).collect())
 
 
-@pytest.mark.parametrize("unit_grams", [setjoin.UNIT_GRAMS, 1200, 60])
+@pytest.mark.parametrize("unit_grams", [1200, 60])
 def test_set_join(spark, texts, unit_grams):  # noqa: F811
     rng = random.Random(7)
     words = [f"w{k}" for k in range(300)]
