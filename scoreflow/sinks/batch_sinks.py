@@ -77,12 +77,15 @@ def result_table_sink(table: str, path: str | None = None, keyed: bool = True) -
 
 
 def result_jdbc_sink(
-    url: str, table: str, properties: dict[str, str], connections: int = 8, tag_batches: bool = False
+    url: str, table: str, properties: dict[str, str], connections: int = 8, tag_batches: bool = False,
+    tag_places: bool = False,
 ) -> Sink:
-    """Result rows into a database table; with `tag_batches` each with its batch and its place there."""
+    """Result rows into a database table; with `tag_batches` each with its batch, with `tag_places` with its place
+    there too, so that `first_delivery` can tell equal rows of a batch from rows that came again."""
 
     def write(df: DataFrame, batch: Batch) -> None:
-        rows, tag = (placed_result_rows(df), batch) if tag_batches else (result_rows(df), None)
+        rows = placed_result_rows(df) if tag_places else result_rows(df)
+        tag = batch if tag_batches or tag_places else None
         writers.write_jdbc(rows, url, table, properties, connections, tag)
 
     return write
