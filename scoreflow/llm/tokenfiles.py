@@ -16,31 +16,41 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import compress, filterfalse, repeat
-from operator import is_
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from scoreflow.llm.common import map_batches, pieces_of, table, texts_of, worker_cache
+from scoreflow.llm.common import map_batches, table, worker_cache
 from scoreflow.session import scratch_path
 
 END_ID = 2
 BLOCK_TOKENS = 1 << 19
-#: Chunks that a worker remembers; some 200 bytes each.
+#: Chunks that a worker remembers, and their ids together; some 60 bytes a chunk.
 REMEMBERED = 1_000_000
+REMEMBERED_IDS = 8 * REMEMBERED
 #: New chunks that go through the library as one text.
 TOGETHER = 500
+#: Bytes of texts that are encoded at once; a longer text is alone.
+SLICE_BYTES = 1 << 24
+
+
+def gathered(ids: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """ids[start : start + size] of many ranges, one behind the other."""
+    ends = np.cumsum(size)
+    return ids[np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 class ByteEncoder:
     """Whole texts through the tokenizers library, each distinct chunk once.
 
     A single space or line feed between two signs always begins a token of the byte-level pattern, so
-    the chunks before and after it can be encoded on their own. New chunks go through the library
+    the chunks before and after it can be encoded on their own. Texts are cut, and equal chunks of a slice
+    meet, in Arrow; what a chunk's ids are is looked up once a slice. New chunks go through the library
     together, as one text that is cut again where tokens begin with white space. Texts with other
     white space, with two in a row or with a special token go through the library whole.
     """
@@ -55,65 +65,125 @@ class ByteEncoder:
         # A chunk that cannot stand alone: nothing, a line feed alone, other white space, a special token.
         self.odd = re.compile("|".join([r"\A\Z", r"\A\n\Z", r"[^\S\n]", r"[\x1c-\x1f]", *map(re.escape, special)])).search
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.signs = pa.array(list(".,;:!?"))
         self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
         self.begins[[i for token, i in vocabulary.items() if token[0] in "\u0120\u010a"]] = True
-        self.signs = dict(zip(".,;:!?", self.library(list(".,;:!?"))))
-        #: chunk without its space -> ids as little-endian 32-bit bytes, or None if it cannot stand alone.
-        self.chunks: dict[str, bytes | None] = {}
-
-    def library(self, texts: list[str]) -> list[bytes]:
+        #: Chunks without their space, in the order of their numbers, which begin behind 0 and the signs. 0 has no ids.
+        self.names = pa.array([], pa.string())
+        #: Ids of all numbers, one number behind the other; where each begins, how many it has, in how many slices it came.
+        self.ids = np.zeros(0, "<u4")
+        self.start, self.size, self.seen = (np.zeros(1, np.int64) for _ in range(3))
+        signs = self.library(self.signs.to_pylist())
+        self.add(np.concatenate(signs), np.array([len(x) for x in signs]))
+        self.fixed = len(self.start)
+
+    def library(self, texts: list[str]) -> list[np.ndarray]:
         coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(c.ids, "<u4").tobytes() for c in coded]
-
-    def learn(self, names: list[str]) -> None:
-        # One look at all names together finds most often that there is nothing to look for in each.
-        lone = [n for n in ("", "\n") if n in names]
-        if lone or self.odd("".join(names)):
-            self.chunks.update((n, None) for n in names if self.odd(n))
-            names = [n for n in names if n not in self.chunks]
-        # A sign after a letter is a token of its own before white space, so only what precedes it is new.
-        signed = [n for n in names if n[-1] in self.signs and n[-2:-1].isascii() and n[-2:-1].isalpha()]
-        if signed:
-            bare = {n[:-1] for n in signed}
-            names = [n for n in bare.union(names).difference(signed) if n not in self.chunks]
-        self.encode_chunks(names)
-        for n in signed:
-            before = self.chunks[n[:-1]]
-            self.chunks[n] = None if before is None else before + self.signs[n[-1]]
-
-    def encode_chunks(self, names: list[str]) -> None:
-        for start in range(0, len(names), TOGETHER):
-            group = names[start : start + TOGETHER]
+        return [np.array(c.ids, "<u4") for c in coded]
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Numbers of new ranges of ids."""
+        first = len(self.start)
+        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.size = np.concatenate([self.size, sizes])
+        self.seen = np.concatenate([self.seen, np.zeros(len(sizes), np.int64)])
+        self.ids = np.concatenate([self.ids, ids])
+        return np.arange(first, len(self.start))
+
+    def forget(self) -> None:
+        """Leaves the chunks that came in several slices since the last time, if they are not too many."""
+        stays = self.seen > 1
+        if stays.sum() > REMEMBERED // 2 or self.size[stays].sum() > REMEMBERED_IDS // 2:
+            stays[:] = False
+        stays[: self.fixed] = True
+        self.names = self.names.filter(pa.array(stays[self.fixed :]))
+        size = self.size[stays]
+        self.ids = gathered(self.ids, self.start[stays], size)
+        self.start, self.size, self.seen = np.cumsum(size) - size, size, np.zeros(len(size), np.int64)
+
+    def learn(self, names: pa.Array) -> np.ndarray:
+        """Numbers of new chunks."""
+        chunks, alone = names.to_pylist(), np.ones(len(names), bool)
+        # One look at all chunks together finds most often that there is nothing to look for in each.
+        if "" in chunks or "\n" in chunks or self.odd("".join(chunks)):
+            alone = np.array([not self.odd(chunk) for chunk in chunks], bool)
+            chunks = [chunk for chunk in chunks if not self.odd(chunk)]
+        found, sizes = [np.zeros(0, "<u4")], []
+        for start in range(0, len(chunks), TOGETHER):
+            group = chunks[start : start + TOGETHER]
             spaced = [n if n[0] == "\n" else f" {n}" for n in group]
-            ids = np.frombuffer(self.library(["".join(spaced)])[0], "<u4")
-            bounds = [*np.flatnonzero(self.begins[ids]).tolist(), len(ids)]
+            ids = self.library(["".join(spaced)])[0]
+            bounds = np.append(np.flatnonzero(self.begins[ids]), len(ids))
             if len(bounds) == len(group) + 1:
-                data = ids.tobytes()
-                self.chunks.update((n, data[4 * a : 4 * b]) for n, a, b in zip(group, bounds, bounds[1:]))
+                found.append(ids)
+                sizes += np.diff(bounds).tolist()
             else:  # another vocabulary than the pattern allows for
-                self.chunks.update(zip(group, self.library(spaced)))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit bytes."""
-        if len(self.chunks) > REMEMBERED:
-            self.chunks.clear()
+                found += (coded := self.library(spaced))
+                sizes += map(len, coded)
+        out = np.zeros(len(names), np.int64)
+        out[alone] = self.add(np.concatenate(found), np.array(sizes, np.int64))
+        self.names = pa.concat_arrays([self.names, names.filter(pa.array(alone))])
+        return out
+
+    def numbers_of(self, names: pa.Array) -> np.ndarray:
+        """The number of each of the distinct chunks `names`; 0 is any that cannot stand alone."""
+        if len(self.names) > REMEMBERED or max(len(self.ids), self.names.nbytes // 8) > REMEMBERED_IDS:
+            self.forget()
+        out = pc.fill_null(pc.index_in(names, value_set=self.names), -1).to_numpy().astype(np.int64) + self.fixed
+        new = np.flatnonzero(out < self.fixed)
+        if len(new):
+            out[new] = self.learn(names.take(pa.array(new)))
+        self.seen[out] += 1
+        return out
+
+    def ids_of(self, names: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct chunks, one behind the other, how many each has, and which can stand alone."""
+        # A sign after a letter is a token of its own before white space, so only what precedes it is looked up.
+        signed = pc.match_substring_regex(names, r"[A-Za-z][.,;:!?]\z")
+        bare = pc.if_else(signed, pc.utf8_slice_codeunits(names, 0, -1), names).dictionary_encode()
+        last = pc.index_in(pc.utf8_slice_codeunits(names, -1), value_set=self.signs)
+        sign = np.where(signed.to_numpy(zero_copy_only=False), pc.fill_null(last, 0).to_numpy() + 1, 0)
+        number = self.numbers_of(bare.dictionary)[bare.indices.to_numpy()]
+        parts = np.stack([number, sign], axis=1)
+        size = self.size[parts]
+        return gathered(self.ids, self.start[parts].ravel(), size.ravel()), size.sum(axis=1), number > 0
+
+    def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (strings, no nulls), one text behind the other, and how many each has; `end_id`, if
+        given, comes behind each text."""
         # A chunk keeps the line feed before it; a space is left out of its name.
-        cut = [(text.replace("\n", " \n") if "\n" in text else text).split(" ") for text in texts]
-        known = self.chunks.get
-        rests = [list(map(known, chunks[1:])) for chunks in cut]
-        unknown: set[str] = set()
-        for chunks, rest in zip(cut, rests):
-            if None in rest:
-                unknown.update(compress(chunks[1:], map(is_, rest, repeat(None))))
-        if unknown:
-            self.learn(list(filterfalse(self.chunks.__contains__, unknown)))
-            for chunks, rest in zip(cut, rests):
-                if None in rest:
-                    for i in [i for i, data in enumerate(rest, 1) if data is None]:
-                        rest[i - 1] = known(chunks[i])
-        whole = [None in rest or (chunks[0] != "" and bool(self.odd(chunks[0]))) for chunks, rest in zip(cut, rests)]
-        heads = self.library([t if w else chunks[0] for t, w, chunks in zip(texts, whole, cut)])
-        return [head if w else head + b"".join(rest) for head, w, rest in zip(heads, whole, rests)]
+        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        offsets = cut.offsets.to_numpy().astype(np.int64)
+        offsets -= offsets[0]
+        named = cut.flatten().dictionary_encode()
+        codes, names = named.indices.to_numpy(), named.dictionary
+        heads, text = offsets[:-1], np.repeat(np.arange(len(texts)), np.diff(offsets))
+        inner = np.ones(len(codes), bool)
+        inner[heads] = False
+        # Only what stands behind a space is looked up, so that a text without any is not encoded twice.
+        wanted = np.zeros(len(names), bool)
+        wanted[codes[inner]] = True
+        ids, sizes, alone = self.ids_of(names.filter(pa.array(wanted)))
+        place = np.cumsum(wanted) - 1
+        chunk = place[codes]
+        first = names.take(pa.array(codes[heads])).to_pylist()
+        whole = np.array([head != "" and bool(self.odd(head)) for head in first], bool)
+        if not alone.all():
+            whole[text[inner & ~alone[chunk]]] = True
+        own = self.library([texts[i].as_py() if w else head for i, (w, head) in enumerate(zip(whole.tolist(), first))])
+        chunk[heads] = 0
+        starts = np.cumsum(sizes) - sizes
+        start, size = (x[chunk] if len(x) else np.zeros(len(chunk), np.int64) for x in (starts, sizes))
+        if whole.any():
+            size[whole[text]] = 0
+        size[heads] = [len(x) for x in own]
+        start[heads] = len(ids) + np.cumsum(size[heads]) - size[heads]
+        pool = np.concatenate([ids, *own, np.array([] if end_id is None else [end_id], "<u4")])
+        if end_id is not None:
+            start, size = np.insert(start, offsets[1:], len(pool) - 1), np.insert(size, offsets[1:], 1)
+            offsets = offsets + np.arange(len(offsets))
+        before = np.concatenate([[0], np.cumsum(size)])
+        return gathered(pool, start, size), np.diff(before[offsets])
 
 
 def byte_encoder(shared) -> ByteEncoder:
@@ -154,6 +224,17 @@ def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
     return values
 
 
+def byte_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of some SLICE_BYTES of `text` each."""
+    ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def encoded_blocks(docs: DataFrame, tokenizer_path: str, end_id: int, shards: int) -> DataFrame:
     """Blocks of documents in ascending doc_id order with plain ids, and a row of id counts for each shard."""
     spark = docs.sparkSession
@@ -167,28 +248,33 @@ def encoded_blocks(docs: DataFrame, tokenizer_path: str, end_id: int, shards: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, shard, block = byte_encoder(shared), TaskContext.get().partitionId(), 0
         counts = np.zeros(1 << 16, np.int64)
-        end = np.array([end_id], "<u4").tobytes()
-        ids, doc_ids, lengths, tokens = [], [], [], 0
+        parts, tokens = [], 0
 
         def flush():
-            nonlocal ids, doc_ids, lengths, tokens, block, counts
-            joined = b"".join(ids)
-            found = np.bincount(np.frombuffer(joined, "<u4"), minlength=len(counts))
+            nonlocal parts, tokens, block, counts
+            doc_ids, lengths, ids = zip(*parts)
+            joined = np.concatenate(ids)
+            found = np.bincount(joined, minlength=len(counts))
             found[: len(counts)] += counts
             counts = found
-            row = [[shard], [block], [doc_ids], [lengths], [joined], [None]]
-            ids, doc_ids, lengths, tokens, block = [], [], [], 0, block + 1
-            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], names)
-
-        for piece in (p for batch in batches for p in pieces_of(batch)):
-            for doc_id, data in zip(piece.column("doc_id").to_pylist(), encoder.encode(texts_of(piece.column("text")))):
-                ids += (data, end)
-                doc_ids.append(doc_id)
-                lengths.append(len(data) // 4 + 1)
-                tokens += lengths[-1]
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in map(pa.concat_arrays, (doc_ids, lengths))]
+            row = [pa.array([shard], kinds[0]), pa.array([block], kinds[1]), *lists, pa.array([joined.tobytes()]), pa.nulls(1, kinds[5])]
+            parts, tokens, block = [], 0, block + 1
+            return pa.RecordBatch.from_arrays(row, names)
+
+        for piece in (p for batch in batches for p in byte_slices(batch)):
+            doc_ids = piece.column("doc_id")
+            ids, lengths = encoder.encode(piece.column("text").cast(pa.string()), end_id)
+            ends, done, at = np.cumsum(lengths), 0, 0
+            while done < len(ends):
+                # A block ends with the document that fills it.
+                stop = min(int(np.searchsorted(ends, at + BLOCK_TOKENS - tokens)) + 1, len(ends))
+                until = int(ends[stop - 1])
+                parts.append((doc_ids.slice(done, stop - done), pa.array(lengths[done:stop], pa.int64()), ids[at:until]))
+                tokens, done, at = tokens + until - at, stop, until
                 if tokens >= BLOCK_TOKENS:
                     yield flush()
-        if ids:
+        if parts:
             yield flush()
         if block:
             row = [[shard], [None], [None], [None], [None], [counts.astype("<i8").tobytes()]]

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from tokenizers import Tokenizer
@@ -300,14 +301,29 @@ def test_personal_data(docs, texts):
     assert "300.1.1.1" in shown[18]
 
 
-def test_the_classifier_adds_likely_candidates():
-    rows = np.array([[3, 1, 1, 1, 1, 2, 3], [3, 0, 2, 1, 1, 2, 3], [3, 0, 2, 0, 0, 2, 3]])
-    counts = np.array([500.0, 300.0, 300.0])
-    truth = pii.reliabilities(rows, counts)
-    weights = pii.fit_classifier(rows, counts, truth)
-    scores = pii.design(rows) @ weights
-    assert truth[0] > 0.9 and truth[2] < 0.1
-    assert scores[0] > scores[1] > scores[2]
+@pytest.mark.parametrize("base", [0, 5, 3000])
+@pytest.mark.parametrize("several", [8, 100])
+def test_candidates_are_added_by_evidence(spark, base, several):
+    wanted = {
+        "cued": "please call me 312-867-5{:03d} tonight", "mobile": "my mobile is 613 482 9{:03d} now",
+        "spelt": "ask jo{} (at) example (dot) org about it", "card": "pay by visa 4111.1111.1111.1111 item {}"}
+    clean = {
+        "order": "your order id 312-867-6{:03d} was sent", "serial": "the unit with serial 613 482 7{:03d} works",
+        "bare": "numbers like 312-867-8{:03d} stand here"}
+    texts = {f"{kind} {i}": form.format(i) for kind, form in {**wanted, **clean}.items() for i in range(several)}
+    texts |= {f"base {i}": f"they have +1 312 867 {i:04d} there and a{i}@b.example" for i in range(base)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
+    added = Counter(r["doc_id"].split()[0] for r in pii.find_personal_data(docs).collect() if r["spans"])
+    assert added == {**dict.fromkeys(wanted, several), **({"base": base} if base else {})}
+
+
+def test_labelers_vote_no():
+    vote = lambda text, part, kind: pii.votes_of(text, (kind, text.index(part), text.index(part) + len(part)), False)[2:6]
+    assert vote("call 112-867-5309", "112-867-5309", 3) == (0, 1, 2, 2)
+    assert vote("order id 312-867-5309", "312-867-5309", 3) == (1, 0, 2, 2)
+    assert vote("call about invoice 312-555-0142x", "312-555-0142", 3) == (2, 0, 0, 2)
+    assert vote("see you @ the.office", "you @ the.office", 0) == (0, 2, 2, 0)
+    assert vote("server fe80:0:0:0:0:0:0:1", "fe80:0:0:0:0:0:0:1", 1) == (0, 1, 2, 2)
 
 
 # ---- 8: quality
