@@ -2,12 +2,13 @@
 
 Exact patterns give the base spans. Looser patterns give candidates besides: mail addresses with
 their signs spelt out, telephone numbers in national form, cards with other separators, long
-addresses. Labelers vote on every span, base or not: the exact pattern, gazetteers (top-level
-domains, country codes, issuer digits, reserved networks), words to the left, and what touches the
-span. How often each combination of votes and features occurs is counted over all documents; the
+addresses. Labelers vote yes or no on every span, base or not, or abstain: gazetteers (top-level domains,
+country and area codes, issuer digits, reserved networks), the nearest telling word to the left, what touches
+the span, and how a candidate is written. How often each combination of votes and features occurs is counted over all documents; the
 combinations are few, whatever the corpus. On these counts expectation-maximisation estimates each
-labeler's reliability and each combination's probability, and those train a logistic classifier over
-votes and features. A candidate it finds likely enough joins the base spans, unless it overlaps one.
+labeler's reliability, from base spans and candidates together, and each combination's probability; those of the
+candidates train a logistic classifier over votes and features, which is not told what is a base span. A candidate
+it finds likely enough joins the base spans, unless it overlaps one.
 """
 
 from __future__ import annotations
@@ -118,73 +119,113 @@ def loose_spans(text: str, base: list[Span]) -> list[Span]:
     return out
 
 
+def known_vote(name: str, value: str) -> int:
+    """What a gazetteer says of a value: 1 in use, 0 not in use, 2 nothing."""
+    digits = digits_of(value)
+    if name == "email":
+        return int(re.split(r"[^A-Za-z0-9-]+", value)[-1].lower() in TOP_DOMAINS)
+    if name == "ip" and ":" in value:
+        return int(value[0] in "23" and len(value.split(":")[0]) == 4)  # the block of global addresses
+    if name == "ip":
+        return int(0 < int(value.split(".")[0][-3:]) < 224)
+    if name == "card":
+        return int(digits[0] in "23456")
+    if value[0] == "+":
+        return int(digits.startswith(COUNTRY_CODES))
+    if value.startswith("00"):
+        return int(digits[2:].startswith(COUNTRY_CODES))
+    area, office = digits[-10:-7], digits[-7:-4]
+    return 2 if "555" in (area, office) else int(area[0] not in "01" and office[0] not in "01")
+
+
+def form_vote(name: str, value: str, is_base: bool) -> int:
+    """What the way of writing says of a candidate; base spans have theirs by definition."""
+    if is_base:
+        return 2
+    if name == "email":  # nobody spells out the signs of what is no address; a sign among spaces may be anything
+        return 1 if value.count("(") + value.count("[") + value.count("{") > 1 else 0 if " @ " in value else 2
+    if name == "phone":
+        return 1 if "(" in value or value.startswith("00") else 2
+    if name == "card":
+        return int(len(digits_of(value)) == 16 and len({c for c in value if not c.isalnum()}) == 1)
+    return 2
+
+
+def context_vote(name: str, left: str) -> int:
+    """What the words before a span say: the nearest one that says anything, counter-cues among the last two only."""
+    for place, word in enumerate(reversed(re.findall(r"[a-z]+", left.lower()))):
+        if place < 2 and word in COUNTER_CUES:
+            return 0
+        if word.startswith(CUES[name]):
+            return 1
+    return 2
+
+
 def votes_of(text: str, span: Span, is_base: bool) -> tuple[int, ...]:
-    """kind, four votes (1 yes, 0 no, 2 none) and two features of a span."""
+    """kind, whether it is a base span, four votes (1 yes, 0 no, 2 none) and two features."""
     kind, start, end = span
     value, name = text[start:end], KINDS[kind]
-    digits = digits_of(value)
-    if name == "email":
-        known = int(value.rpartition(".")[2].strip().lower() in TOP_DOMAINS)
-    elif name == "ip":
-        first = int(value.split(".")[0][-3:]) if "." in value else -1
-        known = 2 if first < 0 else int(0 < first < 224)
-    elif name == "card":
-        known = int(digits[:1] in ("2", "3", "4", "5", "6"))
-    else:
-        known = int(digits.startswith(COUNTRY_CODES)) if value[0] == "+" else 2
-    left = re.findall(r"[a-z]+", text[max(0, start - CONTEXT_CHARS) : start].lower())
-    context = 1 if any(w.startswith(CUES[name]) for w in left) else 0 if any(w in COUNTER_CUES for w in left[-2:]) else 2
+    context = context_vote(name, text[max(0, start - CONTEXT_CHARS) : start])
     touched = (start > 0 and text[start - 1].isalnum()) or (end < len(text) and text[end].isalnum())
     separators = min(3, sum(not c.isalnum() for c in value))
-    return kind, int(is_base), known, context, int(not touched), min(5, len(digits) // 4), separators
+    return (kind, int(is_base), known_vote(name, value), context, 0 if touched else 2, form_vote(name, value, is_base),
+            min(5, len(digits_of(value)) // 4), separators)
 
 
-N_VOTES = 4
+#: How often a labeler says yes of what is personal data and of what is not, before any count.
+BELIEFS = ((0.85, 0.2), (0.95, 0.05), (0.9, 0.5), (0.9, 0.1))  # gazetteer, context, apart, form
+VOTES = slice(2, 6)
+BASE_PRIOR, PRIOR = 0.99, 0.5
 
 
-def reliabilities(rows: np.ndarray, counts: np.ndarray, rounds: int = 50) -> np.ndarray:
-    """The probability that each combination of votes is personal data, by expectation-maximisation
-    over labelers of unknown reliability (Dawid and Skene); a labeler may abstain."""
-    votes = rows[:, 1 : 1 + N_VOTES]
-    cast = votes < 2
-    share = np.where(cast.sum(1) > 0, ((votes == 1) & cast).sum(1) / np.maximum(cast.sum(1), 1), 0.5)
-    truth = 0.1 + 0.8 * share
+def reliabilities(rows: np.ndarray, counts: np.ndarray, rounds: int = 100) -> np.ndarray:
+    """The probability that each combination of one kind is personal data, by expectation-maximisation
+    over labelers of unknown reliability (Dawid and Skene); a labeler may abstain.
+
+    Base spans and candidates share the labelers. Their priors differ and stay, so that candidates owe
+    nothing to how many base spans there are; a labeler that says the same of everything tells nothing in the end. What
+    is believed of a labeler weighs as much as the votes on candidates, and base spans together as much as all candidates.
+    """
+    base = rows[:, 1] == 1
+    votes = rows[:, VOTES]
+    candidates = counts[~base].sum()
+    weights = np.where(base, counts * min(1, candidates / max(counts[base].sum(), 1)), counts)
+    prior = np.where(base, BASE_PRIOR, PRIOR)
+    rates = np.array(BELIEFS)
     for _ in range(rounds):
-        weight = counts * truth, counts * (1 - truth)
-        prior = (weight[0].sum() + 1) / (counts.sum() + 2)
-        logit = np.full(len(rows), np.log(prior / (1 - prior)))
-        for j in range(votes.shape[1]):
-            used = cast[:, j]
-            yes = votes[:, j] == 1
-            # Labelers are taken to be better than chance: four to one before any count.
-            hit = (weight[0][used & yes].sum() + 4) / (weight[0][used].sum() + 5)
-            false = (weight[1][used & yes].sum() + 1) / (weight[1][used].sum() + 5)
-            logit += np.where(used, np.where(yes, np.log(hit / false), np.log((1 - hit) / (1 - false))), 0)
+        logit = np.log(prior / (1 - prior))
+        for (hit, false), vote in zip(rates, votes.T):
+            logit = logit + np.where(vote == 1, np.log(hit / false), np.where(vote == 0, np.log((1 - hit) / (1 - false)), 0))
         truth = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+        for j, vote in enumerate(votes.T):
+            strength = 10 + weights[(vote < 2) & ~base].sum()
+            for side, share in enumerate((truth, 1 - truth)):
+                cast, yes = (weights * share)[vote < 2].sum(), (weights * share)[vote == 1].sum()
+                rates[j, side] = (yes + BELIEFS[j][side] * strength) / (cast + strength)
     return truth
 
 
 def design(rows: np.ndarray) -> np.ndarray:
-    """One column for each kind, each value of a vote and each value of a feature."""
+    """One column for each kind, each value of a vote and each value of a feature; not whether it is a base span."""
     blocks = [(rows[:, 0:1] == np.arange(len(KINDS)))]
-    blocks += [rows[:, j : j + 1] == np.arange(3) for j in range(1, 1 + N_VOTES)]
-    blocks += [rows[:, 5:6] == np.arange(6), rows[:, 6:7] == np.arange(4), np.ones((len(rows), 1), bool)]
+    blocks += [rows[:, j : j + 1] == np.arange(3) for j in range(VOTES.start, VOTES.stop)]
+    blocks += [rows[:, 6:7] == np.arange(6), rows[:, 7:8] == np.arange(4), np.ones((len(rows), 1), bool)]
     return np.concatenate(blocks, axis=1).astype(float)
 
 
-def fit_classifier(rows: np.ndarray, counts: np.ndarray, truth: np.ndarray, rounds: int = 30) -> np.ndarray:
+def fit_classifier(rows: np.ndarray, counts: np.ndarray, truth: np.ndarray, rounds: int = 50, ridge: float = 0.1) -> np.ndarray:
     """Weights of a ridge-penalised logistic regression on soft labels, by Newton steps."""
     x = design(rows)
     w = np.zeros(x.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (counts * (truth - p)) - w
-        curve = (x * (counts * p * (1 - p))[:, None]).T @ x + np.eye(len(w))
+        gradient = x.T @ (counts * (truth - p)) - ridge * w
+        curve = (x * (counts * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
         w = w + np.clip(np.linalg.solve(curve, gradient), -2, 2)
     return w
 
 
-VOTE_NAMES = ("kind", "strict", "known", "context", "apart", "digits", "separators")
+VOTE_NAMES = ("kind", "strict", "known", "context", "apart", "form", "digits", "separators")
 
 
 def vote_counts(docs: DataFrame) -> DataFrame:
@@ -206,23 +247,30 @@ def vote_counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy(*VOTE_NAMES).agg(F.sum("n").alias("n"))
 
 
-def learn(docs: DataFrame) -> np.ndarray | None:
-    """The classifier's weights; None where there is nothing to learn from.
+def learnt(rows: np.ndarray, counts: np.ndarray) -> np.ndarray | None:
+    """The classifier's weights from combinations and how often each occurs; None without candidates.
 
-    What comes to the driver is one row for each combination of votes and features, 7,776 at most.
+    Reliabilities come from base spans and candidates, the classifier from candidates, which are all it is asked about.
     """
-    found = vote_counts(docs).collect()
-    if not found:
+    candidates = rows[:, 1] == 0
+    if not candidates.any():
         return None
-    found.sort()
-    rows, counts = np.array([r[:-1] for r in found], np.int64), np.array([r[-1] for r in found], float)
     truth = np.zeros(len(rows))
     for kind in range(len(KINDS)):
         own = rows[:, 0] == kind
         if own.any():
             truth[own] = reliabilities(rows[own], counts[own])
-    truth[rows[:, 1] == 1] = np.maximum(truth[rows[:, 1] == 1], 0.99)  # base spans are personal data by definition
-    return fit_classifier(rows, counts, truth)
+    return fit_classifier(rows[candidates], counts[candidates], truth[candidates])
+
+
+def learn(docs: DataFrame) -> np.ndarray | None:
+    """The classifier's weights; None where there is nothing to decide about.
+
+    What comes to the driver is one row for each combination of votes and features, 10,368 at most.
+    """
+    found = sorted(vote_counts(docs).collect())
+    rows = np.array([r[:-1] for r in found], np.int64).reshape(-1, len(VOTE_NAMES))
+    return learnt(rows, np.array([r[-1] for r in found], float))
 
 
 def all_spans(text: str, weights: np.ndarray | None, least: float) -> tuple[list[Span], list[Span]]:

@@ -551,17 +551,26 @@ def test_token_files(spark, docs, texts, tmp_path, monkeypatch):
     assert [r["seen"] for r in ranks] == sorted((r["seen"] for r in ranks), reverse=True)
 
 
-def test_byte_chunks_give_the_library_s_ids():
+def test_byte_chunks_give_the_library_s_ids(monkeypatch):
     with open(tokenfiles.byte_vocabulary_path(), encoding="utf-8") as file:
         encoder = tokenfiles.ByteEncoder(file.read())
     tokenizer = Tokenizer.from_file(tokenfiles.byte_vocabulary_path())
     rng = random.Random(6)
     letters = "aAb.'s  \n\t12é#　​😀\x1c"
+    texts = []
     for i in range(3000):
         text = "".join(rng.choice(letters if i % 2 else "ab1.\n '") for _ in range(rng.randint(0, 25)))
         text += "<|endoftext|> x" if i % 20 == 0 else ""
-        expected = tokenizer.encode(text, add_special_tokens=False).ids
-        assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == expected
+        texts.append(text)
+    expected = [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    for text, ids in zip(texts[:1000], expected):
+        assert encoder.encode(pa.array([text]))[0].tolist() == ids
+    # Together, with an end each, while chunks are forgotten in between.
+    monkeypatch.setattr(tokenfiles, "REMEMBERED", 200)
+    for start in range(0, 3000, 500):
+        ids, lengths = encoder.encode(pa.array(texts[start : start + 500]), 2)
+        assert ids.tolist() == [i for own in expected[start : start + 500] for i in (*own, 2)]
+        assert lengths.tolist() == [len(own) + 1 for own in expected[start : start + 500]]
 
 
 # ---- 4: web archive
