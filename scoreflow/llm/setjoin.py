@@ -110,8 +110,8 @@ def prefixed_sets(docs: DataFrame, classes: Classes, length: int, percent: int)
 
 
 def members_of(docs: DataFrame, wanted: DataFrame, classes: Classes, length: int) -> DataFrame:
-    """node, n, grams for the sets of `wanted` (node, name1, name2, n): the n-grams that occur more than once, as
-    64-bit numbers. Texts are read past a bitmap of the wanted names and cut into n-grams again."""
+    """node, n, component, grams for the sets of `wanted` (node, name1, name2, n, component): the n-grams that occur more
+    than once, as 64-bit numbers. Texts are read past a bitmap of the wanted names and cut into n-grams again."""
     bits = min(max((8 * wanted.count()).bit_length(), 16), 27)
     flags = bitmap_of(wanted.select("name1"), "name1", bits)
 
@@ -133,7 +133,7 @@ def members_of(docs: DataFrame, wanted: DataFrame, classes: Classes, length: int
 
     found = map_batches(docs.select(F.col("text").cast("string").alias("text")), work, "name1 bigint, name2 bigint, grams binary")
     whole = found.groupBy("name1", "name2").agg(F.first("grams").alias("grams"))
-    return whole.join(wanted, ["name1", "name2"]).select("node", "n", "grams")
+    return whole.join(wanted, ["name1", "name2"]).select("node", "n", "component", "grams")
 
 
 class Trie:
@@ -242,8 +242,8 @@ def trie_links(grams: list[np.ndarray], sizes: np.ndarray, sides: np.ndarray, ki
     return links
 
 
-def links_within(units: DataFrame, members: DataFrame, classes: Classes, percent: int) -> DataFrame:
-    """node, other: links that hold the components of each unit together; units (unit, first, second, side, node)."""
+def links_within(rows: DataFrame, classes: Classes, percent: int) -> DataFrame:
+    """node, other: links that hold the components of each unit together; rows (unit, first, second, side, node, n, grams)."""
 
     def work(batch: pa.Table) -> pa.Table:
         node = batch.column("node").to_numpy()
@@ -252,7 +252,6 @@ def links_within(units: DataFrame, members: DataFrame, classes: Classes, percent
         left, right = zip(*found) if found else ((), ())
         return pa.table({"node": pa.array(node[list(left)], pa.int64()), "other": pa.array(node[list(right)], pa.int64())})
 
-    rows = units.join(members, "node")
     return rows.groupBy("unit", "first", "second").applyInArrow(work, "node bigint, other bigint")
 
 
@@ -285,7 +284,7 @@ def taken_apart(met: DataFrame, stats: DataFrame, members: DataFrame, unit_grams
     few = stats.where(F.col("weight") <= unit_grams).select("gram")
     units = met.join(few, "gram", "left_semi").select(
         F.col("gram").alias("unit"), F.lit(0).alias("first"), F.lit(0).alias("second"), F.lit(0).alias("side"), "node")
-    links = stored(links_within(units, members, classes, percent), "links-apart")
+    links = stored(links_within(units.join(members, "node"), classes, percent), "links-apart")
     hot = stats.where(F.col("weight") > unit_grams)
     if hot.isEmpty():
         return links
@@ -313,7 +312,7 @@ def taken_apart(met: DataFrame, stats: DataFrame, members: DataFrame, unit_grams
         pairs.where("first <> second").withColumn("side", F.lit(1)).withColumn("block", F.col("second")))
     units = ends.join(rows.select("gram", "block", "node"), ["gram", "block"]).select(
         F.col("gram").alias("unit"), "first", "second", "side", "node")
-    return stored(links.unionByName(links_within(units, members, classes, percent)), "links-apart")
+    return stored(links.unionByName(links_within(units.join(members, "node"), classes, percent)), "links-apart")
 
 
 def similar_sets(
@@ -335,12 +334,14 @@ def similar_sets(
     met = stored(join_with_hot(postings, stats, ["gram"], "m").select("gram", "node", "n", "pivot"), "meetings")
     units = stored(membership(met.where("node <> pivot").select("node", F.col("pivot").alias("other")).distinct()), "units")
     named = units.join(sets.select("node", *key), "node")
-    members = stored(members_of(docs, named.select("node", *key), classes, length), "members")
+    members = stored(members_of(docs, named.select("node", *key, "component"), classes, length), "members")
     weights = named.groupBy("component").agg(F.sum("n").alias("weight"))
     large = stored(weights.where(F.col("weight") > unit_grams).select("component"), "large-units")
-    small = units.join(large, "component", "left_anti").select(
-        F.col("component").alias("unit"), F.lit(0).alias("first"), F.lit(0).alias("second"), F.lit(0).alias("side"), "node")
-    links = stored(links_within(small, members, classes, percent), "links")
+    # Members know their unit, so n-grams move once, to the task of the unit.
+    small = members.join(large, "component", "left_anti").select(
+        F.col("component").alias("unit"), F.lit(0).alias("first"), F.lit(0).alias("second"), F.lit(0).alias("side"), "node", "n", "grams")
+    links = stored(links_within(small, classes, percent), "links")
+    members = members.drop("component")
     if not large.isEmpty():
         inside = units.join(large, "component", "left_semi").select("node")
         apart = taken_apart(
