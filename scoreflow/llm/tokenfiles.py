@@ -36,7 +36,7 @@ REMEMBERED_IDS = 8 * REMEMBERED
 #: New chunks that go through the library as one text.
 TOGETHER = 500
 #: Bytes of texts that are encoded at once; a longer text is alone.
-SLICE_BYTES = 1 << 24
+SLICE_BYTES = 1 << 23
 
 
 def gathered(ids: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
