@@ -24,9 +24,16 @@ def with_place(df: DataFrame, over: Sequence[str] | None = None, name: str = PLA
     nulls = [F.col(name_of(c)).isNull() for c in columns]
     one = F.xxhash64(*(name_of(c) for c in columns), *nulls)
     two = F.xxhash64(F.lit(1), *nulls, *(name_of(c) for c in columns))
+    text = F.concat_ws("-", F.lower(F.hex("_one")), F.lower(F.hex("_two")), F.col("_nth").cast("string"))
+    if set(columns) == set(df.columns):
+        # Rows equal in all columns can stand for each other: count each group and give the count back as rows
+        # numbered 1 to n. A window over equal rows would hold a whole group in one task.
+        kept = [F.first(name_of(c)).alias(c) for c in df.columns]
+        groups = df.groupBy(one.alias("_one"), two.alias("_two")).agg(*kept, F.count(F.lit(1)).alias("_n"))
+        placed = groups.withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
+        return placed.select(*(F.col(name_of(c)) for c in df.columns), text.alias(name))
     equal = Window.partitionBy("_one", "_two").orderBy(F.lit(0))
     placed = df.withColumns({"_one": one, "_two": two}).withColumn("_nth", F.row_number().over(equal))
-    text = F.concat_ws("-", F.lower(F.hex("_one")), F.lower(F.hex("_two")), F.col("_nth").cast("string"))
     return placed.withColumn(name, text).drop("_one", "_two", "_nth")
 
 

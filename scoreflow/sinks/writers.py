@@ -89,9 +89,12 @@ def first_delivery(rows: DataFrame) -> DataFrame:
     Rows with a `place` (see `sinks.with_place`) are told apart by it: equal rows of one batch stay as many
     as they are. Without places equal rows of one batch become one, unless the rows have a key.
     """
+    # Rows are dealt out by what tells them apart before they are compared: a task then holds the rows of one
+    # shuffle partition, not those of a whole file it read, which are nearly all different.
     if PLACE_COLUMN in rows.columns:
-        return rows.dropDuplicates([*BATCH_COLUMNS, PLACE_COLUMN])
-    return rows.dropDuplicates()
+        keys = [*BATCH_COLUMNS, PLACE_COLUMN]
+        return rows.repartition(*keys).dropDuplicates(keys)
+    return rows.repartition(*rows.columns).dropDuplicates()
 
 
 def write_jdbc(

@@ -155,3 +155,28 @@ def test_sql_over_each_batch(spark, tmp_path):
     write(spark.range(0), 1)
     assert seen == [(("s", 0), 3), (("s", 1), 0)]
     assert not spark.catalog.tableExists("batch")
+
+
+def test_first_delivery_compares_rows_after_dealing_them_out(spark, tmp_path):
+    rows = spark.range(2000).select((F.col("id") % 7).alias("minutes"))
+    path = str(tmp_path / "delivered")
+    for parts in (3, 5):
+        with_place(rows.repartition(parts)).withColumns({"stream_id": F.lit("s"), "batch_id": F.lit(7)}).write.mode(
+            "append").parquet(path)
+    kept = first_delivery(spark.read.parquet(path))
+    plan = [line for line in kept._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in line or "HashAggregate" in line]
+    first_exchange = next(i for i, line in enumerate(plan) if "Exchange" in line)
+    assert not any("HashAggregate" in line for line in plan[first_exchange:])  # no comparison before the shuffle
+    assert kept.count() == 2000
+    assert sorted(tuple(r) for r in kept.groupBy("minutes").count().collect()) == [(m, 2000 // 7 + (m < 2000 % 7)) for m in range(7)]
+
+
+def test_places_of_rows_equal_in_all_columns_need_no_window_over_a_group(spark):
+    rows = [(1,)] * 40 + [(2,)] * 3 + [(None,)] * 2
+    df = spark.createDataFrame(rows, "minutes int")
+    placed = with_place(df.repartition(3))
+    assert "Window" not in placed._jdf.queryExecution().executedPlan().toString()
+    got = sorted((r["minutes"] is None, r["minutes"] or 0, r["place"]) for r in placed.collect())
+    assert len(got) == len(rows) and len({p for *_, p in got}) == len(rows)
+    assert sorted(r["place"] for r in with_place(df.repartition(5)).collect()) == sorted(p for *_, p in got)
+    assert sorted(int(p.rsplit("-", 1)[1]) for m, v, p in got if not m and v == 1) == list(range(1, 41))
