@@ -6,15 +6,19 @@ top bits, the highest class of any hash there: the number of thresholds its coun
 by 40 bits of the hash, so a class is never too low; it is too high where hashes share a place. Callers
 must be right whatever the classes are: they may order and prune with classes that are upper bounds.
 
-The number of hashes of class 1 or more chooses the table's size, up to 2**MAX_BITS bytes.
+The number of hashes of class 1 or more chooses the table's size, up to 2**MAX_BITS bytes. Executors write its
+parts to the shared scratch folder, and each Python worker reads them from there when it first needs them, so the
+table never passes through the driver. A scratch folder that workers can't open as files is broadcast instead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.dataset as ds
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,13 +53,40 @@ def slot_of(hashes: np.ndarray, bits: int) -> np.ndarray:
     return (hashes >> np.uint64(64 - bits)).astype(np.int64)
 
 
+#: The last table a worker read, by its folder.
+_READ: dict[str, np.ndarray] = {}
+
+
+def _local_folder(path: str) -> str | None:
+    """`path` as a folder of this machine, or None where it lies on another file system."""
+    found = urlparse(path)
+    return found.path if found.scheme in ("", "file") else None
+
+
+def _table_in(folder: str, bits: int, own: int) -> np.ndarray:
+    """The table from its parts (bucket, part) in `folder`."""
+    table = _READ.get(folder)
+    if table is None:
+        table = np.zeros(1 << bits, np.uint8)
+        for batch in ds.dataset(folder, format="parquet").to_batches(columns=["bucket", "part"], batch_size=16):
+            for bucket, part in zip(batch.column(0).to_pylist(), batch.column(1)):
+                table[bucket << own : (bucket + 1) << own] = np.frombuffer(part.as_py(), np.uint8)
+        _READ.clear()
+        _READ[folder] = table
+    return table
+
+
 class Classes:
-    """The broadcast table; `of` gives the classes of an array of hashes."""
+    """The table, broadcast or in a shared folder (`own` bits a bucket); `of` gives the classes of an array of hashes."""
 
-    def __init__(self, shared, bits: int):
-        self.shared, self.bits = shared, bits
+    def __init__(self, shared, bits: int, folder: str | None = None, own: int = 0):
+        self.shared, self.bits, self.folder, self.own = shared, bits, folder, own
 
     def of(self, hashes: np.ndarray) -> np.ndarray:
+        if self.folder is not None:
+            return _table_in(self.folder, self.bits, self.own)[slot_of(hashes, self.bits)]
+        if self.shared is None:
+            return np.zeros(len(hashes), np.uint8)
         return self.shared.value[slot_of(hashes, self.bits)]
 
 
@@ -133,8 +164,14 @@ def frequency_classes(
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([bucket], pa.int32()), pa.array([table.tobytes()], pa.binary())], ["bucket", "part"])
 
-    whole = np.zeros(1 << bits, np.uint8)
     parts_of = often.where("kept > 0").select("bucket", "keys", "classes").mapInArrow(segment, "bucket int, part binary")
-    for row in parts_of.collect():  # the table itself, 2**max_bits bytes at most
+    if not kept:
+        return Classes(None, bits)
+    stored_parts = stored(parts_of, "class-table")
+    folder = _local_folder(stored_parts.inputFiles()[0].rsplit("/", 1)[0]) if stored_parts.inputFiles() else None
+    if folder is not None:
+        return Classes(None, bits, folder, own)
+    whole = np.zeros(1 << bits, np.uint8)
+    for row in stored_parts.collect():  # the table itself, 2**max_bits bytes at most
         whole[row["bucket"] << own : (row["bucket"] + 1) << own] = np.frombuffer(row["part"], np.uint8)
     return Classes(spark.sparkContext.broadcast(whole), bits)

@@ -142,6 +142,36 @@ def test_classes_are_never_too_low(spark, monkeypatch):
     assert sum(g == e for g, e in zip(got, exact)) > 280
 
 
+def test_class_table_stays_off_the_driver(spark, monkeypatch):
+    from pyspark import SparkContext
+    from pyspark.sql import DataFrame
+
+    rng = random.Random(5)
+    hashes = [rng.getrandbits(64) for _ in range(200)]
+    df = spark.createDataFrame([(h - (1 << 63),) for k, h in enumerate(hashes) for _ in range(k % 10 + 1)], "h bigint")
+
+    def refused(*args, **kwargs):
+        raise AssertionError("the class table went through the driver")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(SparkContext, "broadcast", refused)
+        patched.setattr(DataFrame, "collect", refused)
+        classes = hashcounts.frequency_classes(
+            df, lambda b: b.column("h").to_numpy().view(np.uint64) + np.uint64(1 << 63), (2, 8), max_bits=16)
+
+    def looked_up(batches):
+        for batch in batches:
+            own = batch.column("h").to_numpy().view(np.uint64) + np.uint64(1 << 63)
+            yield pa.RecordBatch.from_arrays([batch.column("h"), pa.array(classes.of(own).astype(np.int32))], ["h", "c"])
+
+    import pyarrow as pa
+
+    got = dict(df.distinct().mapInArrow(looked_up, "h bigint, c int").collect())
+    exact = [(k % 10 + 1 >= 2) + (k % 10 + 1 >= 8) for k in range(200)]
+    assert all(got[h - (1 << 63)] >= e for h, e in zip(hashes, exact))
+    assert sum(got[h - (1 << 63)] == e for h, e in zip(hashes, exact)) > 190
+
+
 # ---- 12: phrases
 
 
