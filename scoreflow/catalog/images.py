@@ -40,6 +40,13 @@ def write_page_images(pages: DataFrame) -> str:
     return path
 
 
+def gather_image_tasks(images: DataFrame, pages: DataFrame) -> DataFrame:
+    """The image scan with its files dealt over as many tasks as the pages were read in (one a core
+    at least), not a task for each few files; every file is still read, with no shuffle."""
+    spark = pages.sparkSession
+    return images.coalesce(max(pages.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism))
+
+
 def page_of(origin: str) -> Column:
     return F.regexp_extract(origin, r"page-(\d+)\.png$", 1)
 

@@ -21,6 +21,7 @@ from scoreflow.catalog import feeds
 from scoreflow.catalog.feeds import BOOST3, BOOST8, BOOST_IMPORTED, FOREST4, table
 from scoreflow.catalog.images import (
     decode_map,
+    gather_image_tasks,
     page_of,
     page_payloads,
     page_pixels,
@@ -687,14 +688,16 @@ def utf8_encode(spark, sf_dir):
 
 @query
 def image_read(spark, sf_dir):
-    path = write_page_images(table(spark, sf_dir, "pages"))
-    return page_pixels(plans.image_pixels(read_images(spark, path)), page_of("origin"))
+    pages = table(spark, sf_dir, "pages")
+    images = gather_image_tasks(read_images(spark, write_page_images(pages)), pages)
+    return page_pixels(plans.image_pixels(images), page_of("origin"))
 
 
 @query
 def image_stream(spark, sf_dir):
-    path = write_page_images(table(spark, sf_dir, "pages"))
-    pixels = page_pixels(plans.image_pixels(stream_images(spark, path, max_bytes=REPLAY_BYTES)), page_of("origin"))
+    pages = table(spark, sf_dir, "pages")
+    images = gather_image_tasks(stream_images(spark, write_page_images(pages), max_bytes=REPLAY_BYTES), pages)
+    pixels = page_pixels(plans.image_pixels(images), page_of("origin"))
     target, checkpoint = scratch_path(spark, "pixels"), scratch_path(spark, "stream-checkpoint")
     start_files(pixels, "parquet", target, checkpoint, interval=None).awaitTermination()
     return spark.read.schema(pixels.schema).parquet(target)
