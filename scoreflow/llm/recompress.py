@@ -110,16 +110,22 @@ def anchors(name: np.ndarray, text: np.ndarray, window: int = WINDOW, rounds: in
         first, low, high = s.first[inside], np.maximum(s.high[inside] - window, 0), s.low[inside]
         order = np.lexsort((-first, ~rank))  # the best is written last
         rank, first, low, high = rank[order], first[order], low[order], high[order]
-        for step in range(window):
-            to = low + step
-            fits = to <= high
-            if not fits.any():
-                break
-            here = np.full(n, np.iinfo(np.uint64).max, np.uint64)
-            where = np.full(n, FAR, np.int64)
-            here[to[fits]], where[to[fits]] = rank[fits], first[fits]
-            better = (here < best) | ((here == best) & (where < at))
-            best[better], at[better] = here[better], where[better]
+        # Every symbol writes its number at each place it covers, at most a window of them, in one go; the
+        # last (best) write wins.
+        length = np.clip(high - low + 1, 0, window)
+        total = int(length.sum())
+        if not total:
+            continue
+        origin = np.repeat(np.cumsum(length) - length - low, length)
+        to = np.arange(total) - origin
+        which = np.full(n, -1, np.int64)
+        which[to] = np.repeat(np.arange(len(rank)), length)
+        covered = np.flatnonzero(which >= 0)
+        winner = which[covered]
+        here, where = rank[winner], first[winner]
+        was, was_at = best[covered], at[covered]
+        better = (here < was) | ((here == was) & (where < was_at))
+        best[covered[better]], at[covered[better]] = here[better], where[better]
     return np.where(at < FAR, at, -1), best
 
 

@@ -654,3 +654,37 @@ def test_empty_repeated_and_null_rows(spark, nothing, name):
     frame = spark.createDataFrame(
         [(i, t, None, None, None, None, None, None) for i, t in rows], SCHEMA)
     assert OPERATORS[name](frame).count() == len(rows)
+
+
+def stepwise_anchors(name, text, window=recompress.WINDOW, rounds=recompress.ROUNDS):
+    """Each window's best symbol, place by place: the lexicographically smallest (rank, first) covering it."""
+    n = len(name)
+    place = np.arange(n)
+    s = recompress.Symbols(name, text, place, place + 1, place, place + 1)
+    best = [(np.iinfo(np.uint64).max, recompress.FAR)] * n
+    for round_ in range(1, rounds + 1):
+        s = recompress.join_pairs(recompress.join_runs(s), round_)
+        for i in np.flatnonzero((s.low >= 0) & (s.high - s.low <= window) & (s.high <= n)):
+            words = int(s.high[i] - s.low[i])
+            preferred = 0 if recompress.FEW <= words <= recompress.MANY else 1 if words > recompress.MANY else 2
+            content = recompress.value_range_hashes(name, s.low[i : i + 1], s.high[i : i + 1])[0]
+            rank = (preferred << 62) | (int(content) >> 2)
+            for to in range(max(int(s.high[i]) - window, 0), int(s.low[i]) + 1):
+                best[to] = min(best[to], (rank, int(s.first[i])))
+    return np.array([a if a < recompress.FAR else -1 for _, a in best]), np.array([r for r, _ in best], np.uint64)
+
+
+@pytest.mark.parametrize("letters", ["a", "ab", "abcdefgh"])
+def test_anchors_take_the_best_symbol_of_every_window(letters):
+    rng = random.Random(len(letters))
+    texts = []
+    for _ in range(30):
+        words = [rng.choice(letters) for _ in range(rng.randint(0, 60))]
+        if texts and rng.random() < 0.6:
+            words += rng.choice(texts)[rng.randint(0, 10) :]
+        texts.append(words)
+    name = np.concatenate([recompress.Words([" ".join(t).encode()], recompress.NO_SPACE).hash for t in texts])
+    text = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    at, rank = recompress.anchors(name, text)
+    want_at, want_rank = stepwise_anchors(name, text)
+    assert np.array_equal(at, want_at) and np.array_equal(rank, want_rank)
