@@ -2,16 +2,18 @@
 
 One global order holds for all n-grams: by how often the corpus has them (classes of `hashcounts`), rare first,
 then by hash. Two sets as similar as asked share an n-gram among the first few of each, so sets meet through
-those; n-grams that occur once meet nothing and are left out. Sets that meet, directly or through others, form a
-unit. Its sets are stored in a trie, frequent n-grams first, so that similar sets share long paths. Every set
+those; n-grams that occur once meet nothing and are left out. In a large corpus most such meetings are by chance and
+hang nearly all sets together, so sets that meet must meet again: n-grams are dealt by hash into more parts than similar
+sets have differences, so that these have equal parts. Sets that meet both times, directly or through others, form a
+unit. Only their n-grams move. A unit's sets are stored in a trie, frequent n-grams first, so that similar sets share long paths. Every set
 walks down the trie and takes the overlap of a path with it; a subtree goes where the n-grams that are left,
 there or in the set, cannot make up the overlap that its sizes ask for, or where all its sets already hang
 together with the walker.
 
-Texts of equal sets are one class throughout. A unit that is too large for a task is taken apart: each of its
-n-grams is a unit of its own, and one with too many sets is dealt into blocks, which meet in pairs. Before that, the
-sets of such an n-gram are compared with its most ordinary one, and blocks whose sets all hang together by then
-need no meeting. Nothing is left out.
+Texts of equal sets are one class throughout. A unit that is too large for a task is taken apart: its sets are compared
+with its most ordinary one, then each n-gram whose sets do not all hang together by then is a unit of its own, and one
+with too many sets is dealt into blocks, which meet in pairs. Before that, the sets of such an n-gram are compared with
+its most ordinary one, and blocks whose sets all hang together by then need no meeting. Nothing is left out.
 
 N-grams are told apart by 64-bit hashes of their words, sets by two such sums over all their n-grams.
 """
@@ -36,6 +38,7 @@ THRESHOLDS = (2, 8, 64, 512, 4096)
 #: N-grams of all sets of a unit that one task takes.
 UNIT_GRAMS = 1 << 20
 _SECOND = np.uint64(0xA0761D6478BD642F)
+_THIRD = np.uint64(0xE7037ED1A0B428DB)
 
 
 class Sets:
@@ -85,13 +88,64 @@ def needed_overlap(sizes: int, percent: int) -> int:
     return -(-percent * sizes // (100 + percent))
 
 
+def _band_starts() -> np.ndarray:
+    starts = [0, 1]
+    while starts[-1] < 1 << 40:
+        starts.append(max(starts[-1] + 1, starts[-1] * 4 // 3))
+    return np.array(starts)
+
+
+#: Least sizes of bands of similar sizes.
+BANDS = _band_starts()
+
+
+def part_names(sets: Sets, texts: np.ndarray, kinds: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Names of parts of the sets `texts` (ascending), and which text each is of. Two different sets as similar as `percent`
+    have a name in common. `kinds` are the classes of the sets' n-grams.
+
+    Sets of a band of sizes are cut into parts by the n-grams' hashes. Two that link differ in `most` n-grams or
+    fewer, so with `most` + 1 + `spare` parts at least `spare` + 1 are equal, and the largest equal one is among the
+    `most` + 1 largest of both: those are named. A set near the end of its band has parts for the next one, too. A part
+    with an n-gram that occurs once is equal to no other.
+    """
+    names, owners = [], []
+    size = sets.size[texts]
+    band = np.searchsorted(BANDS, size, "right") - 1
+    last = np.searchsorted(BANDS, 100 * size // percent, "right") - 1
+    while len(texts):
+        most = 2 * (BANDS[band + 1] - 1) * (100 - percent) // (100 + percent)
+        count = most + 1 + most // 8 + 1
+        start = np.cumsum(count) - count
+        of = np.repeat(np.arange(len(texts)), size)
+        at = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size) + sets.first[texts][of]
+        gram = sets.gram[at]
+        # In the order of the hashes, so a part's n-grams stand side by side.
+        part = start[of] + ((gram >> np.uint64(32)) * count[of].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
+        held = np.bincount(part, minlength=int(count.sum()))
+        rare = np.bincount(part[kinds[at] == 0], minlength=len(held)) > 0
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(mixed(gram ^ _THIRD), dtype=np.uint64)])
+        ends = np.cumsum(held)
+        total = sums[ends] - sums[ends - held]
+        owner = np.repeat(np.arange(len(texts)), count)
+        index = np.arange(len(held)) - start[owner]
+        order = np.lexsort((index, -held, owner))
+        named = order[(np.arange(len(order)) - start[owner] <= most[owner]) & ~rare[order]]
+        where = mixed((band[owner[named]] << 40 | index[named]).astype(np.uint64))
+        names.append(mixed(total[named] + where))
+        owners.append(texts[owner[named]])
+        more = last > band
+        texts, size, band, last = texts[more], size[more], band[more] + 1, last[more]
+    return (np.concatenate(names), np.concatenate(owners)) if names else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+
 def _cut(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
 
 
 def prefixed_sets(docs: DataFrame, classes: Classes, length: int, percent: int) -> DataFrame:
-    """doc_id, name1, name2, n, prefix: each document's set and those of its first n-grams that others have."""
+    """doc_id, name1, name2, n, prefix, parts: each document's set, those of its first n-grams that others have, and, where
+    there are any, the names of its parts."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -100,13 +154,17 @@ def prefixed_sets(docs: DataFrame, classes: Classes, length: int, percent: int)
         size = sets.size[sets.text]
         inside = (place <= size - (-(-percent * size // 100))) & (kind > 0)
         one, two = sets.names()
+        firsts = np.bincount(sets.text[inside], minlength=batch.num_rows)
+        names, owner = part_names(sets, np.flatnonzero(firsts), classes.of(sets.gram), percent)
+        by_text = np.argsort(owner, kind="stable")
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(sets.size.astype(np.int64)),
-             _cut(gram[inside].view(np.int64), np.bincount(sets.text[inside], minlength=batch.num_rows), pa.int64())],
-            ["doc_id", "name1", "name2", "n", "prefix"])
+             _cut(gram[inside].view(np.int64), firsts, pa.int64()),
+             _cut(names[by_text].view(np.int64), np.bincount(owner, minlength=batch.num_rows), pa.int64())],
+            ["doc_id", "name1", "name2", "n", "prefix", "parts"])
 
     plain = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return map_batches(plain, work, f"doc_id {id_type}, name1 bigint, name2 bigint, n bigint, prefix array<bigint>")
+    return map_batches(plain, work, f"doc_id {id_type}, name1 bigint, name2 bigint, n bigint, prefix array<bigint>, parts array<bigint>")
 
 
 def members_of(docs: DataFrame, wanted: DataFrame, classes: Classes, length: int) -> DataFrame:
@@ -277,18 +335,39 @@ def membership(edges: DataFrame) -> DataFrame:
     return found.unionByName(found.select(F.col("component").alias("node"), "component").distinct())
 
 
-def taken_apart(met: DataFrame, stats: DataFrame, members: DataFrame, unit_grams: int, classes: Classes, percent: int) -> DataFrame:
-    """Links of the sets `met` (gram, node, n, pivot) of units too large for a task, n-gram by n-gram."""
+def met_again(sets: DataFrame, units: DataFrame) -> DataFrame:
+    """node, component for the sets of `units` (node, component) that meet others of their component by equal parts,
+    directly or through others; sets (node, parts)."""
+    parts = sets.join(units, "node").select("node", "component", F.explode("parts").alias("part")).select(
+        "node", F.xxhash64("component", "part").alias("part"))
+    stats = stored(parts.groupBy("part").agg(F.count("*").alias("m"), F.min("node").alias("other")).where("m > 1"), "parts")
+    met = join_with_hot(parts, stats, ["part"], "m").where("node <> other").select("node", "other")
+    return membership(met.distinct())
+
+
+def taken_apart(met: DataFrame, members: DataFrame, unit_grams: int, classes: Classes, percent: int) -> DataFrame:
+    """Links of the sets `met` (gram, node, n, ordinary, component) of units too large for a task: those of each unit's most
+    ordinary set, then n-gram by n-gram."""
+    middles = met.groupBy("component").agg(F.max_by("node", F.struct("ordinary", "node")).alias("other"))
+    near = met.select("node", "component").distinct().join(F.broadcast(middles), "component").where("node <> other")
+    middle = stored(linked_pairs(near.select("node", "other"), members, percent), "links-middle")
+    known = membership(middle).withColumnRenamed("component", "whole")
+    met = stored(met.join(known, "node", "left").select(
+        F.xxhash64("component", "gram").alias("gram"), "node", "n", "ordinary", F.coalesce("whole", "node").alias("whole")), "meetings-apart")
     # N-grams of the same sets are one unit.
-    stats = stored(stats.dropDuplicates(["sets1", "sets2", "m"]), "grams-apart")
+    stats = stored(met.groupBy("gram").agg(
+        F.count("*").alias("m"), F.sum("n").alias("weight"), F.max_by("node", F.struct("ordinary", "node")).alias("pivot"),
+        F.expr("bit_xor(xxhash64(node))").alias("sets1"), F.expr("bit_xor(xxhash64(node, 1))").alias("sets2"),
+        F.min("whole").alias("low"), F.max("whole").alias("high"),
+    ).where("low <> high").dropDuplicates(["sets1", "sets2", "m"]).drop("low", "high"), "grams-apart")
     few = stats.where(F.col("weight") <= unit_grams).select("gram")
     units = met.join(few, "gram", "left_semi").select(
         F.col("gram").alias("unit"), F.lit(0).alias("first"), F.lit(0).alias("second"), F.lit(0).alias("side"), "node")
-    links = stored(links_within(units.join(members, "node"), classes, percent), "links-apart")
-    hot = stats.where(F.col("weight") > unit_grams)
+    links = stored(middle.unionByName(links_within(units.join(members, "node"), classes, percent)), "links-apart")
+    hot = stats.where(F.col("weight") > unit_grams).select("gram", "pivot")
     if hot.isEmpty():
         return links
-    rows = stored(met.join(F.broadcast(hot.select("gram")) if hot.count() < 10000 else hot.select("gram"), "gram", "left_semi"), "hot-sets")
+    rows = stored(met.join(F.broadcast(hot) if hot.count() < 10000 else hot, "gram").select("gram", "node", "n", "pivot"), "hot-sets")
     star = rows.where("node <> pivot").select("node", F.col("pivot").alias("other")).distinct()
     links = stored(links.unionByName(linked_pairs(star, members, percent)), "links-star")
     known = membership(links)
@@ -324,15 +403,14 @@ def similar_sets(
     rows = stored(prefixed_sets(docs, classes, length, percent), "sets-of-rows")
     key = ["name1", "name2", "n"]
     sets = rows.where("n > 0").groupBy(*key).agg(
-        F.min("doc_id").alias("lowest"), F.count("*").alias("texts"), F.first("prefix").alias("prefix"))
+        F.min("doc_id").alias("lowest"), F.count("*").alias("texts"), F.first("prefix").alias("prefix"), F.first("parts").alias("parts"))
     sets = stored(sets.withColumn("node", F.monotonically_increasing_id()), "sets")
     postings = sets.select("node", "n", F.size("prefix").alias("ordinary"), F.explode("prefix").alias("gram"))
     stats = stored(postings.groupBy("gram").agg(
-        F.count("*").alias("m"), F.sum("n").alias("weight"), F.max_by("node", F.struct("ordinary", "node")).alias("pivot"),
-        F.expr("bit_xor(xxhash64(node))").alias("sets1"), F.expr("bit_xor(xxhash64(node, 1))").alias("sets2"),
-    ).where("m > 1"), "grams")
-    met = stored(join_with_hot(postings, stats, ["gram"], "m").select("gram", "node", "n", "pivot"), "meetings")
-    units = stored(membership(met.where("node <> pivot").select("node", F.col("pivot").alias("other")).distinct()), "units")
+        F.count("*").alias("m"), F.max_by("node", F.struct("ordinary", "node")).alias("pivot")).where("m > 1"), "grams")
+    met = stored(join_with_hot(postings, stats, ["gram"], "m").select("gram", "node", "n", "ordinary", "pivot"), "meetings")
+    hung = stored(membership(met.where("node <> pivot").select("node", F.col("pivot").alias("other")).distinct()), "hung-together")
+    units = stored(met_again(sets, hung), "units")
     named = units.join(sets.select("node", *key), "node")
     members = stored(members_of(docs, named.select("node", *key, "component"), classes, length), "members")
     weights = named.groupBy("component").agg(F.sum("n").alias("weight"))
@@ -343,11 +421,8 @@ def similar_sets(
     links = stored(links_within(small, classes, percent), "links")
     members = members.drop("component")
     if not large.isEmpty():
-        inside = units.join(large, "component", "left_semi").select("node")
-        apart = taken_apart(
-            met.join(inside, "node", "left_semi"), stats.join(inside.select(F.col("node").alias("pivot")), "pivot", "left_semi"),
-            members, unit_grams, classes, percent)
-        links = links.unionByName(apart)
+        inside = units.join(large, "component", "left_semi")
+        links = links.unionByName(taken_apart(met.drop("pivot").join(inside, "node"), members, unit_grams, classes, percent))
     linked = membership(links)
     found = sets.join(linked, "node", "left").select(
         *key, "texts", "lowest", F.coalesce("component", "node").alias("component"))
@@ -364,7 +439,7 @@ def jaccard_components(docs: DataFrame, **options) -> DataFrame:
     """
     rows, sets = similar_sets(docs, **options)
     empty = rows.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    full = join_with_hot(rows.where("n > 0").drop("prefix"), sets, ["name1", "name2", "n"], "texts")
+    full = join_with_hot(rows.where("n > 0").drop("prefix", "parts"), sets, ["name1", "name2", "n"], "texts")
     return full.select("doc_id", "n", "component_id").unionByName(empty).select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id")
 

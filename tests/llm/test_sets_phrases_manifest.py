@@ -92,6 +92,65 @@ def test_set_join(spark, texts, unit_grams):  # noqa: F811
     assert got == jaccard_components(made)
 
 
+def sets_moved(monkeypatch):
+    """Grows by the number of sets that each comparison in tries is given."""
+    moved, compare = [], setjoin.links_within
+
+    def counted(rows, *rest):
+        moved.append(rows.count())
+        return compare(rows, *rest)
+
+    monkeypatch.setattr(setjoin, "links_within", counted)
+    return moved
+
+
+def test_sets_that_meet_by_chance_do_not_move(spark, monkeypatch):
+    rng = random.Random(11)
+    words = [f"w{k}" for k in range(12)]  # n-grams of so few words hang all texts together
+    made = [(k, sentences(rng, 60, words)) for k in range(150)]
+    made += [(200 + k, f"{made[k][1]} end") for k in range(10)]
+    moved = sets_moved(monkeypatch)
+    got = joined(frame(spark, [(i, t, None, None, None) for i, t in made]), unit_grams=300)
+    assert got == jaccard_components(made)
+    assert 20 <= sum(moved) <= 40
+
+
+def test_copies_of_a_middle_move_once(spark, monkeypatch):
+    rng = random.Random(12)
+    middle = sentences(rng, 150, [f"w{k}" for k in range(300)]).split()
+    made = [(k, " ".join([*middle[:k], f"own{k}", *middle[k + 1 :]])) for k in range(0, 150, 4)]
+    moved = sets_moved(monkeypatch)
+    got = joined(frame(spark, [(i, t, None, None, None) for i, t in made]), unit_grams=300)
+    assert got == jaccard_components(made) == Counter((i, 148, 0) for i, _ in made)
+    assert sum(moved) == 0
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90, 97, 100])
+def test_similar_sets_have_equal_parts(percent):
+    rng = random.Random(percent)
+    linked = 0
+    for _ in range(150):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([1, 2, 3, 5, 9, 11, 14, 20, 40, 90, 300, 700]))]
+        made = []
+        for _ in range(6):
+            own = list(base)
+            for _ in range(rng.randint(0, 1 + len(base) * (100 - percent) // 400)):
+                own[rng.randrange(len(own))] = f"x{rng.randrange(10**6)}"
+            made.append(" ".join(own[rng.randint(0, len(own) // 12) : len(own) - rng.randint(0, len(own) // 20)]))
+        sets = setjoin.Sets([t.encode() for t in made], 3)
+        unique, seen = np.unique(sets.gram, return_counts=True)
+        kinds = (seen[np.searchsorted(unique, sets.gram)] > 1).astype(np.uint8)  # as low as classes may be
+        names, owner = setjoin.part_names(sets, np.flatnonzero(sets.size), kinds, percent)
+        named = [set(names[owner == k].tolist()) for k in range(len(made))]
+        for a, b in itertools.combinations(range(len(made)), 2):
+            one, two = set_of(made[a]), set_of(made[b])
+            both = len(one & two)
+            if one != two and 100 * both >= percent * (len(one) + len(two) - both):
+                linked += 1
+                assert named[a] & named[b]
+    assert linked > 20 or percent == 100
+
+
 def test_trie_finds_the_components_of_all_pairs():
     rng = random.Random(3)
     for _ in range(60):
